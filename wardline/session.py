@@ -18,6 +18,7 @@ def local_session(cpus: str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.debug.maxToStringFields", "50")
         .getOrCreate()
     )
