@@ -71,7 +71,7 @@ SQL |= {
     "encoded_model_table": upto("spl", f"SELECT encounter_id, {code_list(MODEL)}, label, split FROM spl t {code_joins(LABEL_CODED)}", *_K),
     "prj03_feature_projection": upto("spl", f"SELECT encounter_id, {code_list(MODEL)} FROM spl t {code_joins(LABEL_CODED)} WHERE split = 'test'", *_K),
     "ml01_split": upto("spl", "SELECT encounter_id, label, split FROM spl"),
-    "ml01_split_lineitem": """SELECT o_orderkey, o_orderstatus, CASE WHEN pos <= (n * 70) // 100 THEN 'train' WHEN pos <= (n * 85) // 100 THEN 'val' ELSE 'test' END AS split
+    "ml01_split_orders": """SELECT o_orderkey, o_orderstatus, CASE WHEN pos <= (n * 70) // 100 THEN 'train' WHEN pos <= (n * 85) // 100 THEN 'val' ELSE 'test' END AS split
 FROM (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':42')) AS pos, count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders) t""",
     "ml02_leakage_checks": upto("spl", """SELECT 'Index overlap check' AS "check", CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT encounter_id FROM spl GROUP BY encounter_id HAVING count(DISTINCT split) > 1) t
 UNION ALL SELECT 'Scaler fit on train only', 'PASS'

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -50,3 +50,25 @@ def any_of(tests: Sequence[Column]) -> Column:
     for test in tests:
         out = out | F.coalesce(test, F.lit(False))
     return out
+
+
+def with_rounded_tenth(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add ``value`` rounded to one place by its exact binary value, ties to even.
+
+    The built-in ``round`` works on the shortest decimal text, so 45.65, which is
+    stored slightly below, would go up. Ten times the value is 8x + 2x, both exact;
+    the rounding error of that sum decides a seeming tie. Each step is a column of its
+    own, so the expressions stay small enough to compile.
+    """
+    v, s = F.col("_value"), F.col("_ten")
+    staged = df.withColumn("_value", value).withColumn("_ten", v * 8.0 + v * 2.0)
+    staged = staged.withColumns({
+        "_back": s - v * 8.0, "_base": F.floor(s).cast("double")})
+    staged = staged.withColumn(
+        "_error", (v * 8.0 - (s - F.col("_back"))) + (v * 2.0 - F.col("_back")))
+    part, error = s - F.col("_base"), F.col("_error")
+    even = (F.col("_base") % 2.0) == 0.0
+    down = (part < 0.5) | ((part == 0.5) & ((error < 0) | ((error == 0) & even)))
+    tenths = F.when(down, F.col("_base")).when(part.isNotNull(), F.col("_base") + 1.0)
+    return staged.withColumn(name, tenths / 10.0).drop(
+        "_value", "_ten", "_back", "_base", "_error")

@@ -133,24 +133,36 @@ def box_stats(df: DataFrame, column: str, group: str, whisker: float = 1.5) -> D
     )
 
 
+def _complete(df: DataFrame, columns: Sequence[str]) -> set[str]:
+    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    return {c for c in columns if gaps[c] == 0}
+
+
+def _pair(x: str, y: str, complete: set[str]) -> Column:
+    """Correlation of a pair; complete columns share one deviation across all pairs."""
+    if x in complete and y in complete:
+        a, b = F.col(x).cast("double"), F.col(y).cast("double")
+        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    return pearson(F.col(x), F.col(y))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(x, y, r) for every ordered pair, from one aggregate over all pairs."""
     pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[
-        pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)
-    ])
+    complete = _complete(df, columns)
+    wide = df.agg(*[_pair(a, b, complete).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     entries = []
     for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
+        for x, y in sorted({(a, b), (b, a)}):
             entries.append(F.struct(
                 F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("r")))
     return wide.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
 
 
-def target_correlations(df: DataFrame, columns: Sequence[str], target: Column) -> DataFrame:
-    """(column, r) against one target, undefined ones kept as NULL."""
-    goal = df.withColumn("_target", target)
-    wide = goal.agg(*aggregates(columns, r=lambda c: pearson(c, F.col("_target"))))
+def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
+    """(column, r) against one target column, undefined ones kept as NULL."""
+    complete = _complete(df, [*columns, target])
+    wide = df.agg(*[_pair(c, target, complete).alias(f"{c}|r") for c in columns])
     return row_per_column(wide, columns, {"r": "double"})
 
 

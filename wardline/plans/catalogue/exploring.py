@@ -106,7 +106,7 @@ def agg12_feature_correlation_matrix(spark, folder):
 
 def agg13_target_correlation(spark, folder):
     coded = stages.class_code(stages.prepared(spark, folder))
-    found = explore.target_correlations(coded, NUMERIC, F.col("target_code"))
+    found = explore.target_correlations(coded, NUMERIC, "target_code")
     return rounded(found.orderBy(F.desc(F.abs("r")), "column"))
 
 
@@ -128,13 +128,13 @@ def srt01_sorted_rates(spark, folder):
 
 def srt02_sorted_by_size(spark, folder):
     coded = stages.class_code(stages.featured(spark, folder))
-    found = explore.target_correlations(coded, ENGINEERED, F.col("target_code"))
+    found = explore.target_correlations(coded, ENGINEERED, "target_code")
     return rounded(found.where("r is not null").orderBy(F.abs("r"), "column"))
 
 
 def flt08_defined_correlations(spark, folder):
     coded = stages.class_code(stages.featured(spark, folder))
-    found = explore.target_correlations(coded, ENGINEERED, F.col("target_code"))
+    found = explore.target_correlations(coded, ENGINEERED, "target_code")
     return found.where("r is not null").select("column")
 
 
@@ -149,13 +149,13 @@ def top01_top_brands(spark, folder):
 def top02_strongest_features(spark, folder):
     coded = stages.class_code(stages.featured(spark, folder))
     return rounded(explore.strongest(
-        explore.target_correlations(coded, ENGINEERED, F.col("target_code")), 5), 5)
+        explore.target_correlations(coded, ENGINEERED, "target_code"), 5), 5)
 
 
 def top02_strongest_measures(spark, folder):
     coded = stages.class_code(stages.prepared(spark, folder))
     return rounded(explore.strongest(
-        explore.target_correlations(coded, NUMERIC, F.col("target_code")), 3), 5)
+        explore.target_correlations(coded, NUMERIC, "target_code"), 3), 5)
 
 
 def smp01_seeded_sample(spark, folder):

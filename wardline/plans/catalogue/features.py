@@ -122,7 +122,7 @@ def ml01_split(spark, folder):
     return split_rows(spark, folder).select(KEY, "label", "split")
 
 
-def ml01_split_lineitem(spark, folder):
+def ml01_split_orders(spark, folder):
     """The split on another table and class column; three classes, hot ones included."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     return split.stratified_split(orders, "o_orderkey", "o_orderstatus")
@@ -177,7 +177,7 @@ QUERIES |= {f.__name__: f for f in (
     fe50_glucose_category, enc01_binary_codes, enc02_one_hot_wide, enc02_one_hot_vectors,
     enc03_encoding_route, enc04_label_encoded, enc05_class_code, enc06_binary_target,
     enc07_encoding_map, enc08_fixed_codes, encoded_model_table, prj03_feature_projection,
-    ml01_split, ml01_split_lineitem, ml02_leakage_checks, ml18_positive_rate,
+    ml01_split, ml01_split_orders, ml02_leakage_checks, ml18_positive_rate,
     ml18_toxic_rate, agg08_split_summary, agg19_rate_spread, scl01_scaler,
     scl02_scaled_rows, scl03_scaling_report,
 )}
