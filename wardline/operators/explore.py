@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,37 +136,54 @@ def box_stats(df: DataFrame, column: str, group: str, whisker: float = 1.5) -> D
     )
 
 
-def _complete(df: DataFrame, columns: Sequence[str]) -> set[str]:
-    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    return {c for c in columns if gaps[c] == 0}
-
+def _correlations(
+    df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]]
+) -> dict[tuple[str, str], float | None]:
+    """Correlation of each pair; NULL when either side is constant.
 
-def _pair(x: str, y: str, complete: set[str]) -> Column:
-    """Correlation of a pair; complete columns share one deviation across all pairs."""
-    if x in complete and y in complete:
-        a, b = F.col(x).cast("double"), F.col(y).cast("double")
-        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-    return pearson(F.col(x), F.col(y))
+    Columns without gaps share one matrix pass. A pair with gaps uses the rows where
+    both sides are known, in one aggregate over all such pairs.
+    """
+    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    whole = [c for c in columns if gaps[c] == 0]
+    out: dict[tuple[str, str], float | None] = {}
+    if len(whole) > 1:
+        vectors = VectorAssembler(inputCols=whole, outputCol="v").transform(
+            df.select(*[F.col(c).cast("double").alias(c) for c in whole]))
+        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+        place = {c: i for i, c in enumerate(whole)}
+        for x, y in pairs:
+            if x in place and y in place:
+                r = float(matrix[place[x], place[y]])
+                # A constant column has no correlation, not even with itself.
+                out[x, y] = None if math.isnan(r) else r
+        constant = {
+            c for c in whole
+            if all(math.isnan(matrix[place[c], place[o]]) for o in whole if o != c)
+        }
+        out.update({(c, c): None for c in constant if (c, c) in out})
+    left = [p for p in pairs if p not in out]
+    if left:
+        row = df.agg(*[
+            pearson(F.col(x), F.col(y)).alias(f"r{i}") for i, (x, y) in enumerate(left)]).first()
+        out.update({p: row[f"r{i}"] for i, p in enumerate(left)})
+    return out
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(x, y, r) for every ordered pair, from one aggregate over all pairs."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    complete = _complete(df, columns)
-    wide = df.agg(*[_pair(a, b, complete).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in sorted({(a, b), (b, a)}):
-            entries.append(F.struct(
-                F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("r")))
-    return wide.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
+    """(x, y, r) for every ordered pair; one row per pair of columns."""
+    found = _correlations(df, columns, list(combinations_with_replacement(columns, 2)))
+    rows = []
+    for (x, y), r in found.items():
+        rows += [(a, b, r) for a, b in sorted({(x, y), (y, x)})]
+    return df.sparkSession.createDataFrame(rows, "x string, y string, r double")
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """(column, r) against one target column, undefined ones kept as NULL."""
-    complete = _complete(df, [*columns, target])
-    wide = df.agg(*[_pair(c, target, complete).alias(f"{c}|r") for c in columns])
-    return row_per_column(wide, columns, {"r": "double"})
+    found = _correlations(df, [*columns, target], [(c, target) for c in columns])
+    return df.sparkSession.createDataFrame(
+        [(c, found[c, target]) for c in columns], "column string, r double")
 
 
 def strongest(correlations: DataFrame, k: int) -> DataFrame:

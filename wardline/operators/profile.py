@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.functions.codes import order_hash
-from wardline.functions.stats import pearson, percent
+from wardline.functions.stats import percent
 from wardline.operators.clean import columns_of_kind
-from wardline.operators.ordering import running_sums
+from wardline.operators.explore import target_correlations
 from wardline.operators.quantiles import grouped_quantiles
 from wardline.operators.reshape import aggregates, row_per_column, value_counts
 
@@ -42,7 +42,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     columns = list(columns or df.columns)
     counted = df.agg(
         F.count("*").alias("_rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}|missing_count") for c in columns],
+        *[(F.count("*") - F.count(f"`{c}`")).alias(f"{c}|missing_count") for c in columns],
     )
     return row_per_column(
         counted, columns, {"missing_count": "bigint"}, by=["_rows"]
@@ -171,27 +171,27 @@ def null_check(df: DataFrame, by: str) -> DataFrame:
     return counted.withColumn("status", F.when(F.col("n_null") == 0, "OK").otherwise("WARN"))
 
 
-def feature_validation(df: DataFrame, features: Sequence[str], target: Column) -> DataFrame:
+def feature_validation(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Gaps, distinct values, moments, target correlation and kind of each feature.
 
     One wide aggregate for the moments, one value count for the distinct values.
     """
-    fields = {"missing_pct": "double", "mean": "double", "std": "double",
-              "corr_target": "double"}
-    goal = df.withColumn("_target", target)
-    wide = goal.agg(*aggregates(
+    fields = {"missing_pct": "double", "mean": "double", "std": "double"}
+    wide = df.agg(*aggregates(
         features,
         missing_pct=lambda c: F.round(F.avg(c.isNull().cast("int")) * 100, 2),
         mean=lambda c: F.avg(c.cast("double")),
         std=lambda c: F.stddev_samp(c.cast("double")),
-        corr_target=lambda c: pearson(c, F.col("_target")),
     ))
     kinds = dict(df.dtypes)
     types = F.create_map(*[F.lit(x) for c in features for x in (c, kinds[c])])
+    distinct = distinct_counts(df, features).select(
+        F.col("column").alias("feature"), F.col("n_distinct").alias("unique_values"))
+    related = target_correlations(df, features, target).select(
+        F.col("column").alias("feature"), F.col("r").alias("corr_target"))
     return (
         row_per_column(wide, features, fields, name="feature")
-        .join(distinct_counts(df, features).withColumnRenamed("column", "feature")
-              .withColumnRenamed("n_distinct", "unique_values"), "feature", "left")
+        .join(distinct, "feature", "left").join(related, "feature", "left")
         .withColumn("dtype", types[F.col("feature")])
         .withColumn("feature_type", feature_kind(F.col("dtype"), F.col("unique_values")))
     )

@@ -9,7 +9,7 @@ from wardline.operators.profile import null_profile
 from wardline.plans import stages
 from wardline.session import work_path
 from wardline.sources import files
-from wardline.sources.encounters import encounters, table
+from wardline.sources.encounters import table
 from wardline.sources.layout import (
     CATEGORICAL,
     KEY,
@@ -20,7 +20,7 @@ from wardline.sources.layout import (
 
 
 def src01_csv_null_tokens(spark, folder):
-    raw = encounters(spark, folder).select(*encounter_schema().fieldNames())
+    raw = stages.raw(spark, folder).select(*encounter_schema().fieldNames())
     path = work_path(spark, "raw-csv")
     files.write_csv(raw, path)
     return files.read_csv(spark, path, encounter_schema())
@@ -58,14 +58,14 @@ def snk01_csv_round_trip(spark, folder):
 def snk02_json_mapping(spark, folder):
     from wardline.operators.encode import label_codes
 
-    codes = label_codes(encounters(spark, folder), ["gender", "insulin", "change"])
+    codes = label_codes(stages.raw(spark, folder), ["gender", "insulin", "change"])
     path = work_path(spark, "codes-json")
     files.write_json(codes, path)
     return spark.read.schema(codes.schema).json(path)
 
 
 def snk06_report_tables(spark, folder):
-    raw = clean.null_tokens(encounters(spark, folder), NULL_TOKENS)
+    raw = clean.null_tokens(stages.raw(spark, folder), NULL_TOKENS)
     report = null_profile(raw)
     path = work_path(spark, "reports")
     files.write_reports({"null_profile": report}, path)
@@ -88,13 +88,13 @@ def prj04_rename(spark, folder):
 
 
 def cst01_numeric_coercion(spark, folder):
-    raw = encounters(spark, folder).select(KEY, "diag_1", "diag_2", "weight")
+    raw = stages.raw(spark, folder).select(KEY, "diag_1", "diag_2", "weight")
     return clean.to_number(raw, ["diag_1", "diag_2", "weight"])
 
 
 def cst02_to_category(spark, folder):
     coded = [c for c in CATEGORICAL if c.endswith("_id")]
-    return clean.to_category(encounters(spark, folder).select(KEY, *coded), coded)
+    return clean.to_category(stages.raw(spark, folder).select(KEY, *coded), coded)
 
 
 def cst03_flag(spark, folder):
@@ -103,7 +103,7 @@ def cst03_flag(spark, folder):
 
 
 def flt01_class_value(spark, folder):
-    raw = encounters(spark, folder)
+    raw = stages.raw(spark, folder)
     return raw.where(F.col("readmitted") != "NO").select(KEY, "readmitted", "time_in_hospital")
 
 
@@ -114,13 +114,13 @@ def flt02_in_list(spark, folder):
 
 
 def flt03_known_target(spark, folder):
-    raw = encounters(spark, folder)
+    raw = stages.raw(spark, folder)
     label = F.when(F.col("readmitted") == "<30", 1).when(F.col("readmitted") == ">30", 0)
     return raw.select(KEY, label.alias("label")).dropna(subset=["label"])
 
 
 def flt04_known_values(spark, folder):
-    raw = clean.null_tokens(encounters(spark, folder), NULL_TOKENS)
+    raw = clean.null_tokens(stages.raw(spark, folder), NULL_TOKENS)
     known = clean.to_number(raw.select("diag_2"), ["diag_2"]).where("diag_2 is not null")
     return known.agg(F.count("*").alias("n"), F.avg("diag_2").alias("mean")).select(
         "n", F.round("mean", 6).alias("mean"))

@@ -8,7 +8,7 @@ from wardline.operators import clean, profile
 from wardline.operators.features import ENGINEERED
 from wardline.plans import stages
 from wardline.plans.prepare import impute_and_type
-from wardline.sources.encounters import encounters, table
+from wardline.sources.encounters import table
 from wardline.sources.layout import KEY, LABEL_CODED, NULL_TOKENS, NUMERIC
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -24,7 +24,7 @@ def rounded(df, places=6):
 
 
 def known(spark, folder):
-    return clean.null_tokens(encounters(spark, folder), NULL_TOKENS)
+    return clean.null_tokens(stages.raw(spark, folder), NULL_TOKENS)
 
 
 def prf01_table_profile(spark, folder):
@@ -59,7 +59,7 @@ def prf05_null_mask(spark, folder):
 
 
 def prf06_columns_per_type(spark, folder):
-    return profile.columns_per_type(encounters(spark, folder))
+    return profile.columns_per_type(stages.raw(spark, folder))
 
 
 def prf07_null_change(spark, folder):
@@ -82,14 +82,17 @@ def prf10_distinct_counts(spark, folder):
 
 def prf11_feature_validation(spark, folder):
     made = stages.class_code(stages.featured(spark, folder))
-    out = profile.feature_validation(made, ENGINEERED, F.col("target_code"))
+    out = profile.feature_validation(made, ENGINEERED, "target_code")
     return rounded(out.drop("dtype", "feature_type"))
 
 
 def prf12_feature_kinds(spark, folder):
-    made = stages.class_code(stages.featured(spark, folder))
-    return profile.feature_validation(made, ENGINEERED, F.col("target_code")).select(
-        "feature", "feature_type")
+    made = stages.featured(spark, folder)
+    distinct = profile.distinct_counts(made, ENGINEERED)
+    types = F.create_map(*[F.lit(x) for c, t in made.dtypes for x in (c, t)])
+    return distinct.select(
+        F.col("column").alias("feature"),
+        profile.feature_kind(types[F.col("column")], F.col("n_distinct")).alias("feature_type"))
 
 
 def prf13_model_kinds(spark, folder):
@@ -107,7 +110,7 @@ def prf14_column_totals(spark, folder):
 def cln01_median_impute(spark, folder):
     """Letter-coded diagnoses become gaps on coercion and take the median."""
     numbers = clean.to_number(
-        encounters(spark, folder).select(KEY, "diag_1", "diag_2"), ["diag_1", "diag_2"])
+        stages.raw(spark, folder).select(KEY, "diag_1", "diag_2"), ["diag_1", "diag_2"])
     return clean.fill(numbers, clean.fit_medians(numbers, ["diag_1", "diag_2"]))
 
 
@@ -117,7 +120,7 @@ def cln02_mode_impute(spark, folder):
 
 
 def cln03_imputation_log(spark, folder):
-    raw = encounters(spark, folder)
+    raw = stages.raw(spark, folder)
     params = stages.cleaned(spark, folder)[1]
     return clean.imputation_log(raw, params.medians, params.modes)
 
@@ -138,12 +141,12 @@ def cln05_constant_fill(spark, folder):
 
 
 def cln_imputed_and_typed(spark, folder):
-    return impute_and_type(encounters(spark, folder))[0]
+    return impute_and_type(stages.raw(spark, folder))[0]
 
 
 def out01_outlier_report(spark, folder):
     unique = stages.once(
-        spark, folder, "typed", lambda: impute_and_type(encounters(spark, folder))[0])
+        spark, folder, "typed", lambda: impute_and_type(stages.raw(spark, folder))[0])
     return rounded(clean.outlier_report(unique, clean.fit_outliers(unique, NUMERIC)))
 
 

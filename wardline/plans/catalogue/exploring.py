@@ -9,7 +9,7 @@ from wardline.operators.features import ENGINEERED
 from wardline.operators.ordering import with_small_side
 from wardline.plans import stages
 from wardline.plans.catalogue.cleaning import MEASURES, known, rounded
-from wardline.sources.encounters import encounters, table
+from wardline.sources.encounters import table
 from wardline.sources.layout import CLASSES, DIAGNOSES, KEY, NUMERIC
 
 RETURNED = explore.returned(F.col("readmitted"))
@@ -217,7 +217,7 @@ def set02_key_overlap(spark, folder):
 
 def set04_columns_left(spark, folder):
     """Row counts under the columns that remain after an exclusion list."""
-    raw = encounters(spark, folder)
+    raw = stages.raw(spark, folder)
     left = sorted(set(raw.columns) - set(NUMERIC) - {"readmitted", KEY, "patient_nbr"})
     return raw.agg(F.count("*").alias("row_count")).select(
         F.explode(F.array(*map(F.lit, left))).alias("column"), "row_count")

@@ -10,7 +10,7 @@ from wardline.operators.features import ENGINEERED, glucose_category
 from wardline.plans import stages
 from wardline.plans.catalogue.cleaning import rounded
 from wardline.plans.model_table import SCALED, model_columns, scaled_split, split_rows
-from wardline.sources.encounters import encounters, table
+from wardline.sources.encounters import table
 from wardline.sources.layout import KEY, LABEL_CODED
 
 GROUPS = {
@@ -29,11 +29,11 @@ GROUPS = {
 
 def _group(columns):
     return lambda spark, folder: rounded(
-        stages.featured(spark, folder).select(KEY, *columns))
+        stages.engineered(spark, folder).select(KEY, *columns))
 
 
 def fe50_glucose_category(spark, folder):
-    return encounters(spark, folder).select(
+    return stages.raw(spark, folder).select(
         KEY, glucose_category(F.col("num_lab_procedures") + 60).alias("glucose_category"))
 
 
@@ -97,7 +97,7 @@ INSULIN_CODE = {"Down": 0, "No": 1, "Steady": 2, "Up": 3}
 
 
 def enc08_fixed_codes(spark, folder):
-    raw = encounters(spark, folder)
+    raw = stages.raw(spark, folder)
     band = F.translate("age", "[)", "")
     return raw.select(
         KEY,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators.features import engineer
 from wardline.plans.prepare import CleaningParams, binary_target, prepare
+from wardline.session import staged
 from wardline.sources.encounters import encounters
 
 _built: dict[tuple, object] = {}
@@ -19,19 +20,31 @@ def once(spark: SparkSession, folder: str, name: str, build):
     return _built[key]
 
 
+def raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw encounter table as files, the way a user has it."""
+    return once(spark, folder, "raw", lambda: staged(encounters(spark, folder), "raw"))
+
+
 def cleaned(spark: SparkSession, folder: str) -> tuple[DataFrame, CleaningParams]:
     """Imputed, typed, distinct, winsorised encounters and what was learned."""
-    return once(spark, folder, "cleaned", lambda: prepare(encounters(spark, folder)))
+    return once(spark, folder, "cleaned", lambda: prepare(raw(spark, folder)))
 
 
 def prepared(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned(spark, folder)[0]
 
 
-def featured(spark: SparkSession, folder: str) -> DataFrame:
+def engineered(spark: SparkSession, folder: str) -> DataFrame:
+    """The feature columns as a plain projection over the prepared rows."""
     return engineer(prepared(spark, folder))
 
 
+def featured(spark: SparkSession, folder: str) -> DataFrame:
+    """The featured table as files, for the stages that read it several times."""
+    return once(
+        spark, folder, "featured", lambda: staged(engineered(spark, folder), "featured"))
+
+
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
     return binary_target(featured(spark, folder))
 

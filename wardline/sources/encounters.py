@@ -65,9 +65,20 @@ FROM (SELECT o.*, c.c_mktsegment, c.c_name, CAST(round(o_totalprice*100) AS BIGI
       FROM {orders} o JOIN {customer} c ON o_custkey=c_custkey) t"""
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance an input that arrives in fewer parts than there are cores.
+
+    A table of many files keeps its partitioning; one small file would otherwise feed
+    a single task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def encounters(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    orders = table(spark, folder, "orders").drop("o_orderpriority")
     return spark.sql(
         encounter_sql("{orders}", "{customer}", extra),
-        orders=table(spark, folder, "orders"),
+        orders=spread(orders),
         customer=table(spark, folder, "customer"),
     )
