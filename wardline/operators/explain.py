@@ -57,7 +57,9 @@ def permutation_importance(
     source = vectors.select(key, F.col("x").alias("other"), numbered).withColumn(
         "_place", F.row_number().over(by_hash)).drop(key)
     paired = target.join(source, ["repeat", "_place"])
-    copies = paired.select(
+    # A few thousand rows become many once copied; spread them before that.
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    copies = paired.repartition(2 * cores).select(
         "repeat", label, "x", "other",
         F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("_f"))
     swapped = copies.select(

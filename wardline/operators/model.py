@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 # Hyper-parameters of the classifiers.
-LOGISTIC = {"c": 1.0, "max_iter": 1000}
+LOGISTIC = {"c": 1.0, "max_iter": 1000, "tolerance": 1e-4}
 FOREST = {"trees": 200, "depth": 10, "leaf_rows": 2}
 BOOSTING = {"trees": 200, "step": 0.05, "depth": 5, "subsample": 0.8}
 SEED = 42
+# End of fixed values.
+# Megabytes of node statistics per pass: more nodes grow in each pass over the rows.
+NODE_MEMORY = 1024
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -39,12 +42,13 @@ def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "label",
-                 c: float = LOGISTIC["c"], max_iter: int = LOGISTIC["max_iter"]):
+                 c: float = LOGISTIC["c"], max_iter: int = LOGISTIC["max_iter"],
+                 tolerance: float = LOGISTIC["tolerance"]):
     """L2 logistic regression; ``c`` is the inverse penalty on the summed loss."""
     ready = assemble(train, features).select("features", label)
     return LogisticRegression(
         labelCol=label, regParam=1.0 / (c * ready.count()), maxIter=max_iter,
-        standardization=False).fit(ready)
+        tol=tolerance, standardization=False).fit(ready)
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str = "label",
@@ -56,7 +60,7 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str = "label",
         ready, weights = with_class_weight(ready, label), {"weightCol": "weight"}
     return RandomForestClassifier(
         labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf_rows,
-        seed=SEED, **weights).fit(ready)
+        seed=SEED, maxMemoryInMB=NODE_MEMORY, **weights).fit(ready)
 
 
 def fit_boosting(train: DataFrame, features: Sequence[str], label: str = "label",
@@ -65,7 +69,7 @@ def fit_boosting(train: DataFrame, features: Sequence[str], label: str = "label"
     ready = assemble(train, features).select("features", label)
     return GBTClassifier(
         labelCol=label, maxIter=trees, stepSize=step, maxDepth=depth,
-        subsamplingRate=subsample, seed=SEED).fit(ready)
+        subsamplingRate=subsample, seed=SEED, maxMemoryInMB=NODE_MEMORY).fit(ready)
 
 
 def predict(model, rows: DataFrame, features: Sequence[str], name: str, key: str,

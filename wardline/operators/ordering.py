@@ -150,21 +150,24 @@ def order_statistics(
             else:
                 mine.update(low=hi, rank=rank - upto_high, size=mine["size"] - upto_high)
 
+    # Targets that ended in the same bracket of the same column share one pass.
+    shared: dict[tuple, list[str]] = {}
     for name, (value, _) in targets.items():
-        if name in found:
-            continue
-        if not 0 <= state[name]["rank"] < state[name]["size"]:
-            found[name] = None
-            continue
+        if name not in found:
+            place = (str(value), state[name]["low"], state[name]["high"])
+            shared.setdefault(place, []).append(name)
+    for names in shared.values():
+        value = targets[names[0]][0]
         held = (
-            df.where(inside(name)).groupBy(value.alias("value")).agg(F.count("*").alias("n"))
+            df.where(inside(names[0])).groupBy(value.alias("value"))
+            .agg(F.count("*").alias("n"))
         )
         upto = W.orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-        found[name] = (
-            held.withColumn("upto", F.sum("n").over(upto))
-            .where(F.col("upto") > state[name]["rank"])
-            .agg(F.min("value").alias("value")).first()["value"]
-        )
+        ranked = held.withColumn("upto", F.sum("n").over(upto))
+        row = ranked.agg(*[
+            F.min(F.when(F.col("upto") > state[n]["rank"], F.col("value"))).alias(n)
+            for n in names]).first()
+        found.update({n: row[n] if state[n]["rank"] >= 0 else None for n in names})
     return found
 
 

@@ -98,10 +98,16 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
             F.approx_count_distinct(c).alias(f"{c}|n_distinct") for c in columns
         ])
         return row_per_column(wide, columns, {"n_distinct": "bigint"}, by)
-    return (
-        value_counts(df, columns, by).groupBy(*by, "column")
+    # Numbers are compared as numbers; those a double cannot hold exactly stay text.
+    types = dict(df.dtypes)
+    numbers = [c for c in columns if types[c] in ("tinyint", "smallint", "int", "float", "double")]
+    texts = [c for c in columns if c not in numbers]
+    counted = [
+        value_counts(df, group, by, kind).groupBy(*by, "column")
         .agg(F.count("value").alias("n_distinct"))
-    )
+        for group, kind in ((numbers, "double"), (texts, "string")) if group
+    ]
+    return counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -37,7 +37,7 @@ def aggregates(
 
 
 def value_counts(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), kind: str = "string"
 ) -> DataFrame:
     """(by..., column, value, n) for every column in one pass, NULL counted as a value.
 
@@ -45,7 +45,7 @@ def value_counts(
     row per task.
     """
     entries = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
+        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast(kind).alias("value"))
         for c in columns
     ])
     return (

@@ -8,7 +8,7 @@ from wardline.operators import clean, profile
 from wardline.operators.features import ENGINEERED
 from wardline.plans import stages
 from wardline.plans.prepare import impute_and_type
-from wardline.sources.encounters import table
+from wardline.sources.encounters import spread, table
 from wardline.sources.layout import KEY, LABEL_CODED, NULL_TOKENS, NUMERIC
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -23,6 +23,10 @@ def rounded(df, places=6):
     ])
 
 
+def lines(spark, folder):
+    return spread(table(spark, folder, "lineitem"))
+
+
 def known(spark, folder):
     return clean.null_tokens(stages.raw(spark, folder), NULL_TOKENS)
 
@@ -50,8 +54,7 @@ def prf04_describe_encounters(spark, folder):
 
 
 def prf04_describe_lineitem(spark, folder):
-    lines = table(spark, folder, "lineitem")
-    return rounded(profile.describe(lines, MEASURES + ["l_returnflag", "l_linestatus"]), 4)
+    return rounded(profile.describe(lines(spark, folder), MEASURES + ["l_returnflag", "l_linestatus"]), 4)
 
 
 def prf05_null_mask(spark, folder):
@@ -151,8 +154,8 @@ def out01_outlier_report(spark, folder):
 
 
 def out01_outlier_report_lineitem(spark, folder):
-    lines = table(spark, folder, "lineitem")
-    return rounded(clean.outlier_report(lines, clean.fit_outliers(lines, MEASURES)), 4)
+    rows = lines(spark, folder)
+    return rounded(clean.outlier_report(rows, clean.fit_outliers(rows, MEASURES)), 4)
 
 
 def out02_winsorised(spark, folder):
@@ -160,8 +163,8 @@ def out02_winsorised(spark, folder):
 
 
 def out02_winsorised_lineitem(spark, folder):
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *MEASURES)
-    return rounded(clean.winsorise(lines, clean.fit_outliers(lines, MEASURES)), 4)
+    rows = lines(spark, folder).select("l_orderkey", "l_linenumber", *MEASURES)
+    return rounded(clean.winsorise(rows, clean.fit_outliers(rows, MEASURES)), 4)
 
 
 QUERIES = {f.__name__: f for f in (

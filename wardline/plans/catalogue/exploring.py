@@ -8,7 +8,7 @@ from wardline.operators import explore, profile
 from wardline.operators.features import ENGINEERED
 from wardline.operators.ordering import with_small_side
 from wardline.plans import stages
-from wardline.plans.catalogue.cleaning import MEASURES, known, rounded
+from wardline.plans.catalogue.cleaning import MEASURES, known, lines, rounded
 from wardline.sources.encounters import table
 from wardline.sources.layout import CLASSES, DIAGNOSES, KEY, NUMERIC
 
@@ -63,7 +63,7 @@ def agg06_class_stats(spark, folder):
 
 def agg06_class_stats_lineitem(spark, folder):
     return rounded(
-        explore.class_stats(table(spark, folder, "lineitem"), MEASURES, "l_returnflag"), 3)
+        explore.class_stats(lines(spark, folder), MEASURES, "l_returnflag"), 3)
 
 
 def agg07_part_stats(spark, folder):
@@ -93,7 +93,7 @@ def agg11_box_stats(spark, folder):
 
 def agg11_box_stats_price(spark, folder):
     return rounded(
-        explore.box_stats(table(spark, folder, "lineitem"), "l_extendedprice", "l_returnflag"), 4)
+        explore.box_stats(lines(spark, folder), "l_extendedprice", "l_returnflag"), 4)
 
 
 def agg12_correlation_matrix(spark, folder):

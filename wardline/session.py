@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +73,12 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     path = work_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def collect_together(builders: Sequence[Callable[[], DataFrame]], threads: int = 4) -> list:
+    """Collect several small reports, a few at a time.
+
+    A report's job rarely fills the cluster alone; independent ones can share it.
+    """
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(lambda build: build().collect(), builders))
