@@ -14,6 +14,7 @@ from wardline.operators.ordering import (
     running_sums,
     with_small_side,
 )
+from wardline.session import cut_lineage
 
 # The built-in aggregate keeps one counter per distinct value and group.
 DISTINCT_LIMIT = 200_000
@@ -90,7 +91,8 @@ def grouped_quantiles(
             F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
             for c in wide
         ])
-        counted = (
+        # Counted, ranked and totalled below; written once so the scan is not repeated.
+        counted = cut_lineage(
             df.select(*by, F.explode(entries).alias("_e"))
             .where("_e.value is not null")
             .groupBy(*by, "_e.column", "_e.value").agg(F.count("*").alias("n"))

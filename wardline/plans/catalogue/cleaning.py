@@ -8,7 +8,7 @@ from wardline.operators import clean, profile
 from wardline.operators.features import ENGINEERED
 from wardline.plans import stages
 from wardline.plans.prepare import impute_and_type
-from wardline.sources.encounters import spread, table
+from wardline.sources.encounters import table
 from wardline.sources.layout import KEY, LABEL_CODED, NULL_TOKENS, NUMERIC
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -24,7 +24,7 @@ def rounded(df, places=6):
 
 
 def lines(spark, folder):
-    return spread(table(spark, folder, "lineitem"))
+    return table(spark, folder, "lineitem")
 
 
 def known(spark, folder):
