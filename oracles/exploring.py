@@ -139,5 +139,6 @@ SQL = {
     "set02_key_overlap": upto("spl", """SELECT (SELECT count(*) FROM (SELECT encounter_id FROM spl WHERE split='train' INTERSECT SELECT encounter_id FROM spl WHERE split='val') a) AS train_val,
  (SELECT count(*) FROM (SELECT encounter_id FROM spl WHERE split='train' INTERSECT SELECT encounter_id FROM spl WHERE split='test') a) AS train_test,
  (SELECT count(*) FROM (SELECT encounter_id FROM spl WHERE split='val' INTERSECT SELECT encounter_id FROM spl WHERE split='test') a) AS val_test"""),
+    "set05_side_by_side": upto("prep", "SELECT readmitted, count(*) AS n, round(count(*)::DOUBLE / (SELECT count(*) FROM prep) * 100, 2) AS pct, round(avg(time_in_hospital), 6) AS mean FROM prep GROUP BY readmitted"),
     "set04_columns_left": upto("enc", union_all(f"SELECT '{c}' AS \"column\", (SELECT count(*) FROM enc) AS row_count" for c in _left)),
 }

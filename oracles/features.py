@@ -77,6 +77,9 @@ FROM (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orders
 UNION ALL SELECT 'Scaler fit on train only', 'PASS'
 UNION ALL SELECT 'Stratification check', CASE WHEN max(r) - min(r) < 0.01 THEN 'PASS' ELSE 'FAIL' END FROM (SELECT avg(label) AS r FROM spl GROUP BY split) t"""),
     "ml18_positive_rate": upto("spl", "SELECT count(*) AS n, CAST(sum(label) AS BIGINT) AS n_positive, round(avg(label), 6) AS positive_rate FROM spl WHERE split = 'test'"),
+    "snk03_split_snapshots": upto("spl", f"SELECT encounter_id, label, k_age.code AS age, comorbidity_index, split FROM spl t {code_joins(['age'])}", codes("spl", "age")),
+    "cln06_model_input_impute": upto("spl", "SELECT encounter_id, coalesce(d, (SELECT quantile_cont(d, 0.5) FROM n WHERE split = 'train')) AS diag_2, split FROM n",
+        "n AS (SELECT encounter_id, TRY_CAST(enc.diag_2 AS DOUBLE) AS d, split FROM enc JOIN spl USING (encounter_id))"),
     "ml18_toxic_rate": "SELECT count(*) AS n, round(avg(toxic), 6) AS positive_rate FROM labels",
     "agg08_split_summary": upto("spl", """SELECT split, count(*) AS n_samples, round(count(*)::DOUBLE / (SELECT count(*) FROM spl) * 100, 2) AS pct_total, count(*) FILTER (WHERE label = 1) AS n_readmitted,
  count(*) FILTER (WHERE label = 0) AS n_not_readmitted, round(avg(label) * 100, 2) AS readmission_rate FROM spl GROUP BY split"""),

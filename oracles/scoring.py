@@ -199,6 +199,9 @@ SELECT record_id, patient_name, risk_score, status, NULL FROM rec WHERE origin I
     "scr12_cohort_trend": plain("SELECT strftime(timestamp, '%Y-%m') AS month, count(*) AS n, round(avg(label) * 100, 6) AS readmission_rate FROM rec WHERE risk_score / 100 > 0.5 GROUP BY 1", *_R),
     "fe49_scoring_columns": plain(f"SELECT encounter_id, patient_name, {model_inputs()} FROM inp", RAW, INP),
     "prj05_default_columns": plain("SELECT encounter_id, 2.0::DOUBLE AS race, 7.0::DOUBLE AS admission_source_id, 1.0::DOUBLE AS num_procedures, 1.0::DOUBLE AS discharge_disposition_risk, 0.0::DOUBLE AS emergency_elderly FROM inp", RAW, INP),
+    "jn07_rows_by_grid": plain("SELECT number_inpatient, count(*) AS n, round(avg(risk_score), 6) AS average FROM bare GROUP BY number_inpatient", RAW,
+        INP.replace("inp AS MATERIALIZED", "base AS MATERIALIZED"),
+        "inp AS MATERIALIZED (SELECT base.* REPLACE (g.v AS number_inpatient) FROM base, (SELECT DISTINCT number_inpatient AS v FROM base) g)", tenth("bare", False)),
     "txt01_topics": f"SELECT conv_id, turn, role, {topic('text')} AS topic FROM conversations",
     "txt01_topic_counts": f"SELECT {topic('text')} AS topic, count(*) AS n FROM documents GROUP BY 1",
     "txt02_notices": plain("SELECT record_id, 'Hi ' || patient_name || ', this is the discharge team. Your clinical analysis is complete. Risk Level: ' || status || ' (' || printf('%.1f%%', risk_score) || '). Our team will reach out shortly.' AS message FROM rec", *_R),

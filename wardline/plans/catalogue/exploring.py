@@ -12,7 +12,9 @@ from wardline.plans.catalogue.cleaning import MEASURES, known, lines, rounded
 from wardline.sources.encounters import table
 from wardline.sources.layout import CLASSES, DIAGNOSES, KEY, NUMERIC
 
-RETURNED = explore.returned(F.col("readmitted"))
+
+def _returned():
+    return explore.returned(F.col("readmitted"))
 
 
 def agg01_class_shares(spark, folder):
@@ -28,12 +30,12 @@ def agg02_imbalance(spark, folder):
 
 
 def agg03_rate_by_gender(spark, folder):
-    return rounded(explore.rate_by(stages.prepared(spark, folder), "gender", RETURNED))
+    return rounded(explore.rate_by(stages.prepared(spark, folder), "gender", _returned()))
 
 
 def agg03_rate_by_race(spark, folder):
     return rounded(
-        explore.rate_by(stages.prepared(spark, folder), "race", RETURNED).orderBy("rate", "race"))
+        explore.rate_by(stages.prepared(spark, folder), "race", _returned()).orderBy("rate", "race"))
 
 
 def agg03_rate_by_comorbidity(spark, folder):
@@ -122,7 +124,7 @@ def agg17_ordered_ages(spark, folder):
 
 def srt01_sorted_rates(spark, folder):
     return rounded(
-        explore.rate_by(stages.prepared(spark, folder), "payer_code", RETURNED)
+        explore.rate_by(stages.prepared(spark, folder), "payer_code", _returned())
         .orderBy(F.desc("rate"), "payer_code"))
 
 
@@ -185,7 +187,7 @@ def jn04_rate_of_top_codes(spark, folder):
     rows = stages.prepared(spark, folder)
     top = explore.top_values(rows, "diag_1", 10).select("diag_1")
     kept = with_small_side(rows.select("diag_1", "readmitted"), top, ["diag_1"], "left_semi")
-    return rounded(explore.rate_by(kept, "diag_1", RETURNED))
+    return rounded(explore.rate_by(kept, "diag_1", _returned()))
 
 
 def jn04_rate_of_top_codes_all_positions(spark, folder):
@@ -194,7 +196,7 @@ def jn04_rate_of_top_codes_all_positions(spark, folder):
     for c in DIAGNOSES:
         top = explore.top_values(rows, c, 10).select(c)
         kept = with_small_side(rows.select(c, "readmitted"), top, [c], "left_semi")
-        parts.append(explore.rate_by(kept, c, RETURNED).withColumnRenamed(c, "code")
+        parts.append(explore.rate_by(kept, c, _returned()).withColumnRenamed(c, "code")
                      .withColumn("position", F.lit(c)))
     return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
@@ -215,6 +217,14 @@ def set02_key_overlap(spark, folder):
     return shared_keys(split_rows(spark, folder), KEY)
 
 
+def set05_side_by_side(spark, folder):
+    """Counts and mean stay per class in one table, aligned by class."""
+    rows = stages.prepared(spark, folder)
+    stay = explore.class_stats(rows, ["time_in_hospital"], "readmitted").select(
+        "readmitted", "mean")
+    return rounded(explore.class_shares(rows, "readmitted").join(stay, "readmitted", "outer"))
+
+
 def set04_columns_left(spark, folder):
     """Row counts under the columns that remain after an exclusion list."""
     raw = stages.raw(spark, folder)

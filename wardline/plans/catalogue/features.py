@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardline.functions.codes import mapped
-from wardline.operators import encode, split
+from wardline.operators import clean, encode, split
 from wardline.operators.features import ENGINEERED, glucose_category
 from wardline.plans import stages
 from wardline.plans.catalogue.cleaning import rounded
 from wardline.plans.model_table import SCALED, model_columns, scaled_split, split_rows
+from wardline.session import work_path
+from wardline.sources import files
 from wardline.sources.encounters import table
 from wardline.sources.layout import KEY, LABEL_CODED
 
@@ -172,6 +174,23 @@ def scl03_scaling_report(spark, folder):
     return rounded(encode.scaling_report(before, after, SCALED), 4)
 
 
+def snk03_split_snapshots(spark, folder):
+    """Every split in its own folder, in two formats; the CSV copy is read back."""
+    rows = split_rows(spark, folder).select(KEY, "label", "age", "comorbidity_index", "split")
+    path = work_path(spark, "splits")
+    files.write_snapshot(rows, f"{path}/parquet", ["split"])
+    rows.write.partitionBy("split").option("header", True).csv(f"{path}/csv")
+    return spark.read.schema(rows.schema).option("header", True).csv(f"{path}/csv")
+
+
+def cln06_model_input_impute(spark, folder):
+    """Gaps of every split filled by the median of the training rows."""
+    coded = clean.to_number(stages.raw(spark, folder).select(KEY, "diag_2"), ["diag_2"])
+    rows = coded.join(split_rows(spark, folder).select(KEY, "split"), KEY)
+    medians = clean.fit_medians(rows.where(F.col("split") == "train"), ["diag_2"])
+    return clean.fill(rows, medians)
+
+
 QUERIES = {name: _group(columns) for name, columns in GROUPS.items()}
 QUERIES |= {f.__name__: f for f in (
     fe50_glucose_category, enc01_binary_codes, enc02_one_hot_wide, enc02_one_hot_vectors,
@@ -179,5 +198,6 @@ QUERIES |= {f.__name__: f for f in (
     enc07_encoding_map, enc08_fixed_codes, encoded_model_table, prj03_feature_projection,
     ml01_split, ml01_split_orders, ml02_leakage_checks, ml18_positive_rate,
     ml18_toxic_rate, agg08_split_summary, agg19_rate_spread, scl01_scaler,
-    scl02_scaled_rows, scl03_scaling_report,
+    scl02_scaled_rows, scl03_scaling_report, snk03_split_snapshots,
+    cln06_model_input_impute,
 )}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardline.functions.codes import icd_number
-from wardline.operators import evaluate, records, score
+from wardline.operators import evaluate, explain, records, score
 from wardline.operators.features import glucose_category
 from wardline.operators.ordering import order_statistics
 from wardline.plans import stages
@@ -324,6 +324,20 @@ def prj05_default_columns(spark, folder):
         "emergency_elderly")
 
 
+def jn07_rows_by_grid(spark, folder):
+    """Mean rule score when every row takes each grid value of one input in turn.
+
+    The grid is a short literal list per row, so no join is needed.
+    """
+    inputs = scoring_inputs(spark, folder)
+    grid = explain.dependence_grid(inputs, ["number_inpatient"])["number_inpatient"]
+    values = F.array(*[F.lit(int(v)) for v in grid])
+    replaced = inputs.withColumn("number_inpatient", F.explode(values))
+    return rounded(
+        score.with_rule_score(replaced, noise=False).groupBy("number_inpatient")
+        .agg(F.count("*").alias("n"), F.avg("risk_score").alias("average")))
+
+
 def txt01_topics(spark, folder):
     return table(spark, folder, "conversations").select(
         "conv_id", "turn", "role", score.topic(F.col("text")).alias("topic"))
