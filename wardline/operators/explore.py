@@ -79,7 +79,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int, group: str | Non
               ) -> DataFrame:
     """Equal-width counts over each column's own range, empty bins included.
 
-    The top bin is closed. With ``group`` every class uses its own range. A constant
+    Rows are binned where they are read and only bin counts are shuffled. The top bin
+    is closed. With ``group`` every class uses its own range. A constant
     column gets a range of one unit around its value.
     """
     by = [group] if group else []
@@ -94,17 +95,16 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int, group: str | Non
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     ).where("lo is not null")
-    # Counting values first leaves one row per distinct value for the bin arithmetic.
-    counted = (
+    values = (
         df.select(*by, F.explode(pairs).alias("_e")).where("_e.value is not null")
-        .groupBy(*by, "_e.column", "_e.value").agg(F.count("*").alias("n"))
+        .select(*by, "_e.*")
     )
     width = (F.col("hi") - F.col("lo")) / bins
     binned = (
-        with_small_side(counted, ranges, by + ["column"], "inner")
+        with_small_side(values, ranges, by + ["column"], "inner")
         .withColumn("bin", F.least(
             F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1)).cast("int"))
-        .groupBy(*by, "column", "bin").agg(F.sum("n").alias("n"))
+        .groupBy(*by, "column", "bin").agg(F.count("*").alias("n"))
     )
     slots = ranges.select(
         *by, "column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
