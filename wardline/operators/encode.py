@@ -8,7 +8,6 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.stats import ratio
 from wardline.operators.ordering import running_sums
 from wardline.operators.profile import distinct_counts
 from wardline.operators.reshape import aggregates, row_per_column, value_counts
@@ -123,7 +122,3 @@ def scaling_report(
         return rows.select("feature", *[F.col(f).alias(f"{f}_{suffix}") for f in fields])
 
     return stats(before, "before").join(stats(after, "after"), "feature")
-
-
-def gap_share(df: DataFrame, column: str) -> Column:
-    return ratio(F.count_if(F.col(column).isNull()), F.count("*"))

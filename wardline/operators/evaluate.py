@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -135,10 +133,3 @@ def best_models(comparison: DataFrame) -> DataFrame:
         .alias("best_accuracy"),
         F.min_by("model", lowest).alias("best_overall"),
     )
-
-
-def long_predictions(tables: Sequence[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for more in tables[1:]:
-        out = out.unionByName(more)
-    return out
