@@ -67,24 +67,24 @@ def literal_count(words: Column) -> Column:
 
 
 def _may_hold(spots: DataFrame, text: Column) -> Column:
-    """Whether a text has a word that begins a window's chosen pair, and then one that ends one.
+    """Whether a text has the chosen pair of words of any window, side by side.
 
-    The longest pair of a window is chosen. Where the words are too many for a plan, or a window has no
+    The pair whose shorter word is longest is chosen, as it is rare elsewhere. Where the words are too many for a plan, or a window has no
     pair, every text may hold an item.
     """
     letters = lambda w: w.rlike(r"^[\p{L}\p{M}]+$")
     pair = F.array_max(F.filter(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("theirs") - 1, F.lit(1))),
-        lambda i: F.struct((F.length(F.element_at("theirs", i)) + F.length(F.try_element_at("theirs", i + 1))).alias("size"),
+        lambda i: F.struct(F.least(F.length(F.element_at("theirs", i)), F.length(F.try_element_at("theirs", i + 1))).alias("size"),
                            F.element_at("theirs", i).alias("first"), F.try_element_at("theirs", i + 1).alias("second"))),
         lambda p: p["second"].isNotNull() & letters(p["first"]) & letters(p["second"])))
     pairs = spots.select(pair.alias("pair")).select("pair.first", "pair.second").distinct().limit(PLAN_WORDS + 1).collect()
     if len(pairs) > PLAN_WORDS or any(p["first"] is None for p in pairs):
         return F.lit(True)
-    firsts, seconds = sorted({p["first"] for p in pairs}), sorted({p["second"] for p in pairs})
+    firsts, both = sorted({p["first"] for p in pairs}), sorted(f"{p['first']} {p['second']}" for p in pairs)
     return bound(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}]+"), lambda w: F.exists(
         F.sequence(F.lit(1), F.greatest(F.size(w) - 1, F.lit(1))),
-        lambda i: F.element_at(w, i).isin(firsts) & F.coalesce(F.try_element_at(w, i + 1).isin(seconds), F.lit(False))))
+        lambda i: F.element_at(w, i).isin(firsts) & F.concat_ws(" ", F.element_at(w, i), F.try_element_at(w, i + 1)).isin(both)))
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
