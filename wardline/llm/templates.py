@@ -19,7 +19,7 @@ ENOUGH = 13
 #: Literal words a window needs; one of placeholders only says nothing.
 LITERALS = 5
 
-#: Word pairs that are written into the plan of the first filter at most.
+#: Runs of words that are written into the plan of the first filter at most.
 PLAN_WORDS = 20_000
 
 #: Units of measure and money, as words of their own after a number.
@@ -66,25 +66,33 @@ def literal_count(words: Column) -> Column:
     return F.size(F.filter(words, lambda w: w >= "\u0004"))
 
 
+def _run(words: Column, at: Column, n: int) -> list[Column]:
+    return [F.try_element_at(words, at + k) for k in range(n)]
+
+
 def _may_hold(spots: DataFrame, text: Column) -> Column:
-    """Whether a text has the chosen pair of words of any window, side by side.
+    """Whether a text has the chosen words of any window, side by side.
 
-    The pair whose shorter word is longest is chosen, as it is rare elsewhere. Where the words are too many for a plan, or a window has no
-    pair, every text may hold an item.
+    Chosen are three words of letters, or two where a window has no three, whose shortest is the longest,
+    as they are rare elsewhere. Where they are too many for a plan, or a window has none, every text may
+    hold an item.
     """
-    letters = lambda w: w.rlike(r"^[\p{L}\p{M}]+$")
-    pair = F.array_max(F.filter(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("theirs") - 1, F.lit(1))),
-        lambda i: F.struct(F.least(F.length(F.element_at("theirs", i)), F.length(F.try_element_at("theirs", i + 1))).alias("size"),
-                           F.element_at("theirs", i).alias("first"), F.try_element_at("theirs", i + 1).alias("second"))),
-        lambda p: p["second"].isNotNull() & letters(p["first"]) & letters(p["second"])))
-    pairs = spots.select(pair.alias("pair")).select("pair.first", "pair.second").distinct().limit(PLAN_WORDS + 1).collect()
-    if len(pairs) > PLAN_WORDS or any(p["first"] is None for p in pairs):
+    def best(n):
+        def run(i):
+            words = _run(F.col("theirs"), i, n)
+            return F.struct(F.array_min(F.transform(F.array(*words), F.length)).alias("size"), F.concat_ws(" ", *words).alias("words"), words[-1].alias("last"))
+        runs = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.size("theirs") - n + 1, F.lit(1))), run),
+                        lambda r: r["last"].isNotNull() & r["words"].rlike(r"^[\p{L}\p{M} ]+$"))
+        return F.array_max(runs)["words"]
+
+    chosen = (spots.select(F.coalesce(best(3), best(2)).alias("words")).distinct().limit(PLAN_WORDS + 1).collect())
+    if len(chosen) > PLAN_WORDS or any(r["words"] is None for r in chosen):
         return F.lit(True)
-    firsts, both = sorted({p["first"] for p in pairs}), sorted(f"{p['first']} {p['second']}" for p in pairs)
+    runs = sorted(r["words"] for r in chosen)
+    firsts = sorted({r.split(" ")[0] for r in runs})
     return bound(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}]+"), lambda w: F.exists(
         F.sequence(F.lit(1), F.greatest(F.size(w) - 1, F.lit(1))),
-        lambda i: F.element_at(w, i).isin(firsts) & F.concat_ws(" ", F.element_at(w, i), F.try_element_at(w, i + 1)).isin(both)))
+        lambda i: F.element_at(w, i).isin(firsts) & (F.concat_ws(" ", *_run(w, i, 3)).isin(runs) | F.concat_ws(" ", *_run(w, i, 2)).isin(runs))))
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
@@ -97,8 +105,8 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     value differs. Null and empty texts and items match nothing; repeated rows of a key count as one
     text each and give one row together; a null key is kept as null. Other columns are not read.
 
-    Every window has two literal words side by side, so texts without any such pair of any window are left
-    out at once. The others' windows are hashed and joined; the few texts with matches are read again for
+    Every window has two literal words side by side, mostly three, so texts without the words chosen of any
+    window are left out at once. The others' windows are hashed and joined; the few texts with matches are read again for
     the words under them.
     """
     own = F.posexplode(windows(words_of(template(F.col("marked"))), size)).alias("at", "window")
