@@ -85,7 +85,8 @@ class Scanner:
                 found = text[start:end]
                 if any(a < end and start < b for a, b in busy[k : k + 4]) or not re.search(r"\d", found) or not re.search(r"[A-Za-z]", found):
                     continue
-                score = self.marginal(text[max(0, start - 256) : start], found, text[end : end + 128])
+                # Copies of the candidate around it do not make it less of a secret.
+                score = self.marginal(text[max(0, start - 256) : start].replace(found, " "), found, text[end : end + 128].replace(found, " "))
                 if score >= self.novelty:
                     out.append(("novel", start, end, score))
         return out

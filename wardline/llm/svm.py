@@ -39,7 +39,8 @@ def dual_coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], labels: n
 def calibrate(margins: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Slopes and offset of the logistic curve through margins (a column each) and labels (0 or 1), with
     smoothed targets."""
-    margins = np.asarray(margins, float).reshape(len(labels), -1)
+    margins = np.asarray(margins, float)
+    margins = margins[:, None] if margins.ndim == 1 else margins
     if not len(labels):
         return np.zeros(margins.shape[1]), 0.0
     positive, negative = labels.sum(), (1 - labels).sum()

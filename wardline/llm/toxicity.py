@@ -182,7 +182,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     toxic, clean = [[x for x in rows if x] for rows in found]
     labels_of = np.array([1] * len(toxic) + [0] * len(clean))
     if not toxic or not clean:
-        return ToxicityModel(np.zeros(IDS), 0.0, np.zeros(WORST), calibrate(np.zeros((len(labels_of), 1)), labels_of)[1])
+        return ToxicityModel(np.zeros(IDS), 0.0, np.zeros(WORST), calibrate(np.zeros(len(labels_of)), labels_of)[1])
     rng = np.random.default_rng(seed)
     seen: tuple[dict, dict] = ({}, {})
     for rows, into in zip((toxic, clean), seen):
