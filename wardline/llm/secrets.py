@@ -44,7 +44,7 @@ class Scanner:
     """``reach``: characters after a sensitive word that are its context; ``least``: a candidate's
     shortest length; ``novelty``: bytes it must add for each of its own."""
 
-    def __init__(self, reach: int = 80, least: int = 12, novelty: float = 0.85):
+    def __init__(self, reach: int = 80, least: int = 12, novelty: float = 0.7):
         self.reach, self.least, self.novelty = reach, least, novelty
         self.assign = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
         self.access = re.compile(ACCESS)
