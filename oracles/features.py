@@ -51,7 +51,19 @@ _K = [codes("spl", c) for c in LABEL_CODED]
 _texts = [c for c in COLUMN_ORDER if c not in NUMERIC + ["encounter_id", "patient_nbr", "readmitted"]]
 
 SQL = {name: upto("feat", f"SELECT encounter_id, {pick(cols)} FROM feat") for name, cols in GROUPS.items()}
+_ROUTED = {"label_encoding": ("coalesce(CAST({c} AS VARCHAR), 'nan')", "true", "<= 2"), "one_hot_encoding": ("CAST({c} AS VARCHAR)", "{c} IS NOT NULL", "> 2")}
+
+
+def _routed(columns):
+    return upto("prep", union_all(
+        f"SELECT '{c}' AS \"column\", {columns.format(method=m)} FROM (SELECT {v.format(c=c)} AS v, count(*) AS n FROM prep WHERE {known.format(c=c)} GROUP BY 1) t WHERE (SELECT count(DISTINCT {c}) FROM prep) {size}"
+        for c in _texts for m, (v, known, size) in _ROUTED.items()))
+
+
+_PLACE = "CAST(row_number() OVER (ORDER BY v) - 1 AS INT) AS code"
 SQL |= {
+    "enc02_encoded_columns": _routed(_PLACE + ", n"),
+    "enc07_fitted_map": _routed("'{method}' AS method, v AS value, " + _PLACE),
     "fe50_glucose_category": upto("enc", "SELECT encounter_id, CASE WHEN num_lab_procedures + 60 < 100 THEN 'NORMAL' WHEN num_lab_procedures + 60 < 126 THEN 'PREDIABETES' ELSE 'DIABETES RANGE' END AS glucose_category FROM enc"),
     "enc01_binary_codes": "SELECT l_orderkey, l_linenumber, l_partkey, CAST(dense_rank() OVER (ORDER BY l_linestatus) - 1 AS INT) AS l_linestatus FROM lineitem",
     "enc02_one_hot_wide": upto("prep", "SELECT encounter_id, " + ", ".join(

@@ -159,11 +159,41 @@ def test_one_hot(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, c string")
     wide = {r.k: (r.c_a, r.c_b) for r in encode.one_hot_wide(df, "c", ["a", "b"]).collect()}
     assert wide == {1: (1, 0), 2: (0, 1), 3: (0, 0)}
-    vectors = encode.one_hot_vectors(df, ["c"], encode.label_codes(df, ["c"])).collect()
-    assert {r.k: list(r.c_vec.toArray())[:2] for r in vectors} == {
+    vectors = encode.one_hot_vectors(df, ["c"], encode.one_hot_codes(df, ["c"])).collect()
+    assert {r.k: list(r.c_vec.toArray()) for r in vectors} == {
         1: [1.0, 0.0], 2: [0.0, 1.0], 3: [0.0, 0.0]}
 
 
+@pytest.mark.parametrize("limit", [100, 1])
+def test_unseen_values_keep_their_rows(spark, limit):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, c string")
+    codes = encode.label_codes(df, ["c"])
+    other = spark.createDataFrame([(1, "b"), (2, "z"), (3, None)], "k int, c string")
+    got = {r.k: r.c for r in encode.label_encode(other, ["c"], codes, limit).collect()}
+    assert got == {1: 1, 2: None, 3: None}
+    marked = {r.k: r.c for r in encode.label_encode(other, ["c"], codes, limit, unseen=-1).collect()}
+    assert marked == {1: 1, 2: -1, 3: -1}
+    vectors = encode.one_hot_vectors(other, ["c"], codes, limit).collect()
+    assert {r.k: list(r.c_vec.toArray()) for r in vectors} == {1: [0.0, 1.0], 2: [0.0, 0.0], 3: [0.0, 0.0]}
+
+
+def test_fitted_encoding_routes_every_text_column(spark):
+    df = spark.createDataFrame(
+        [(1, "x", "a"), (2, "y", "b"), (3, None, "c"), (4, "x", None), (5, "y", "nan")], "k int, two string, many string")
+    fitted = encode.fit_encoding(df)
+    assert fitted.methods == {"two": "label_encoding", "many": "one_hot_encoding"}
+    rows = {r.k: (r.two, list(r.many_vec.toArray())) for r in encode.encode(df, fitted).collect()}
+    assert rows == {1: (1, [1, 0, 0, 0]), 2: (2, [0, 1, 0, 0]), 3: (0, [0, 0, 1, 0]), 4: (1, [0, 0, 0, 0]), 5: (2, [0, 0, 0, 1])}
+    wide = {r.k: (r.many_a, r.many_nan) for r in encode.encode(df, fitted, wide=True).collect()}
+    assert wide == {1: (1, 0), 2: (0, 0), 3: (0, 0), 4: (0, 0), 5: (0, 1)}
+    assert {(r.column, r.method) for r in encode.fitted_map(fitted).collect()} == set(fitted.methods.items())
+
+
+def test_a_half_median_is_filled_in_as_it_is(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
+    assert sorted(r.x for r in clean.fill(df, clean.fit_medians(df, ["x"])).collect()) == [1.0, 1.5, 2.0]
+
+
 def test_scaler_uses_population_deviation_and_keeps_constants(spark):
     df = spark.createDataFrame([(1.0, 4.0), (3.0, 4.0)], "a double, k double")
     fit = encode.fit_scaler(df, ["a", "k"])

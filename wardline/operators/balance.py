@@ -20,11 +20,12 @@ def synthetic_minority(
     """Rows on the segments between a minority row and one of its k neighbours.
 
     Made until both classes have the same size: every minority row gives an equal
-    number, and the remainder goes to the first rows in hash order. Columns: the seed
-    row's key, ``copy`` (from 1), the features and the label.
+    number, and the remainder goes to the first rows in hash order. A minority of one row
+    has no neighbour and gives copies of it; rows without a label take no part. Columns: the
+    seed row's key, ``copy`` (from 1), the features and the label.
     """
     sizes = {r[label]: r["n"] for r in
-             train.groupBy(label).agg(F.count("*").alias("n")).collect()}
+             train.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).collect()}
     minority = min(sizes, key=lambda c: (sizes[c], -c))
     held, need = sizes[minority], max(sizes.values()) - sizes[minority]
     rows = train.where(F.col(label) == minority).select(
@@ -35,6 +36,12 @@ def synthetic_minority(
         rows.select(key, F.lit(0).alias("_g")), digest, ["_g"], {"_to": F.lit(rest)}
     ).first()["_to"]
     copies = F.lit(each) + F.when(digest <= F.lit(last), 1).otherwise(0)
+    if held == 1:
+        single = rows.withColumn("copy", F.explode(F.when(
+            copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>"))))
+        return single.select(
+            key, "copy", *[F.col("x")[i].alias(c) for i, c in enumerate(features)],
+            F.lit(minority).alias(label))
     draw = order_hash(F.col(key), F.col("copy"), seed=seed)
     neighbours = nearest_neighbours(rows, key, "x", min(k, held - 1), **search)
     within = F.conv(F.substring(draw, 9, 8), 16, 10).cast("bigint") % min(k, held - 1)

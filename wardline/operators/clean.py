@@ -59,6 +59,14 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
 
 
 def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
+    """Replace NULL by the column's value.
+
+    A whole-number column whose value is not whole becomes double first, so that the value
+    is filled in as it is.
+    """
+    whole = {f.name for f in df.schema if isinstance(f.dataType, T.IntegralType)}
+    halves = [c for c, v in values.items() if c in whole and isinstance(v, float) and v != int(v)]
+    df = df.withColumns({c: F.col(f"`{c}`").cast("double") for c in halves})
     return df.fillna(dict(values)) if values else df
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.stats import pearson, percent, ratio
-from wardline.operators.ordering import with_small_side
+from wardline.operators.ordering import null_safe_join, with_small_side
 from wardline.operators.quantiles import grouped_quantiles
 from wardline.operators.reshape import aggregates, row_per_column, value_counts
 
@@ -61,7 +61,7 @@ def class_stats(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
         columns, mean=F.avg, std=F.stddev_samp, min=F.min, max=F.max))
     middle = grouped_quantiles(df, [group], columns, [0.5]).select(
         group, "column", F.col("q")[0].alias("median"))
-    return row_per_column(wide, columns, fields, [group]).join(middle, [group, "column"], "left")
+    return null_safe_join(row_per_column(wide, columns, fields, [group]), middle, [group, "column"], "left")
 
 
 def part_stats(df: DataFrame, columns: Sequence[str], part: str) -> DataFrame:
@@ -72,7 +72,7 @@ def part_stats(df: DataFrame, columns: Sequence[str], part: str) -> DataFrame:
     quartiles = grouped_quantiles(df, [part], columns, [0.25, 0.5, 0.75]).select(
         part, "column", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
         F.col("q")[2].alias("p75"))
-    return row_per_column(wide, columns, fields, [part]).join(quartiles, [part, "column"], "left")
+    return null_safe_join(row_per_column(wide, columns, fields, [part]), quartiles, [part, "column"], "left")
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int, group: str | None = None
@@ -114,7 +114,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int, group: str | Non
         (F.col("lo") + F.col("bin") * F.col("_w")).alias("left_edge"),
         (F.col("lo") + (F.col("bin") + 1) * F.col("_w")).alias("right_edge"),
     )
-    return slots.join(binned, by + ["column", "bin"], "left").fillna(0, ["n"])
+    return null_safe_join(slots, binned, by + ["column", "bin"], "left").fillna(0, ["n"])
 
 
 def box_stats(df: DataFrame, column: str, group: str, whisker: float = 1.5) -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
+
+from py4j.protocol import Py4JJavaError
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
@@ -12,7 +15,8 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -97,6 +101,44 @@ def kept_for_fit(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+class Scorer(NamedTuple):
+    """A fitted model with what its inputs need: the scaler and the order of the features."""
+
+    model: object
+    scaler: dict[str, tuple[float, float]]
+    features: list[str]
+
+
+def save_scorer(spark: SparkSession, scorer: Scorer, path: str) -> None:
+    save(scorer.model, f"{path}/model")
+    rows = [(i, c, *map(float, scorer.scaler.get(c, (0.0, 1.0))), c in scorer.scaler)
+            for i, c in enumerate(scorer.features)]
+    spark.createDataFrame(rows, "place int, feature string, mean double, std double, scaled boolean").coalesce(1).write.parquet(f"{path}/inputs")
+
+
+def load_scorer(spark: SparkSession, path: str) -> Scorer | None:
+    """What is stored at ``path``; nothing where either part is missing."""
+    try:
+        rows = spark.read.parquet(f"{path}/inputs").orderBy("place").collect()  # one row a feature
+        fitted = load(f"{path}/model")
+    except (AnalysisException, Py4JJavaError):
+        return None
+    return Scorer(fitted, {r["feature"]: (r["mean"], r["std"]) for r in rows if r["scaled"]},
+                  [r["feature"] for r in rows])
+
+
+def probability(scorer: Scorer, inputs: DataFrame) -> DataFrame:
+    """Inputs with ``probability``; NULL where a feature is missing, so that no row ends the job."""
+    ready = inputs.withColumns({
+        c: (F.col(c) - mean) / std for c, (mean, std) in scorer.scaler.items()})
+    whole = F.lit(True)
+    for c in scorer.features:
+        whole = whole & F.col(f"`{c}`").isNotNull()
+    filled = ready.withColumn("_whole", whole).fillna(0.0, scorer.features)
+    scored = scorer.model.transform(assemble(filled, scorer.features))
+    return scored.withColumn("probability", F.when(F.col("_whole"), vector_to_array("probability")[1]))
+
+
 def save(model, path: str) -> None:
     PipelineModel([model]).write().save(path)
 

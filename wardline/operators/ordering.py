@@ -26,6 +26,16 @@ def literal_rows(df: DataFrame, limit: int = 100_000) -> tuple[DataFrame, bool]:
     return df.sparkSession.createDataFrame(rows, df.schema), True
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other; the keys appear once."""
+    renamed = right.select(*[
+        F.col(f"`{c}`").alias(f"_on_{c}") if c in on else F.col(f"`{c}`") for c in right.columns])
+    test = F.lit(True)
+    for c in on:
+        test = test & F.col(f"`{c}`").eqNullSafe(F.col(f"`_on_{c}`"))
+    return left.join(renamed, test, how).drop(*[f"_on_{c}" for c in on])
+
+
 def with_small_side(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
     limit: int = 100_000,
@@ -33,10 +43,10 @@ def with_small_side(
     """Join ``small`` by broadcast once it is known to fit, by shuffle otherwise.
 
     The bound is read by fetching at most ``limit + 1`` rows; a side within it is
-    then reused as literal rows, so it is computed once.
+    then reused as literal rows, so it is computed once. NULL keys match each other.
     """
     literal, fits = literal_rows(small, limit)
-    return big.join(F.broadcast(literal) if fits else small, list(on), how)
+    return null_safe_join(big, F.broadcast(literal) if fits else small, list(on), how)
 
 
 def running_sums(
@@ -46,7 +56,8 @@ def running_sums(
 ) -> DataFrame:
     """Add ``cum_<measure>`` over a total order of ``order`` within each key.
 
-    Rows must be unique per ``keys + order``: aggregate ties first.
+    Rows must be unique per ``keys + order``: aggregate ties first. NULL keys are a key
+    of their own on either path.
     """
     keys, order = list(keys), list(order)
     direction = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
@@ -77,7 +88,7 @@ def running_sums(
         W.unboundedPreceding, W.currentRow
     )
     summed = staged.withColumns({f"cum_{m}": F.sum(m).over(local) for m in measures})
-    joined = summed.join(offsets, keys + ["_part"])
+    joined = null_safe_join(summed, offsets, keys + ["_part"])
     return joined.select(
         *df.columns,
         *[(F.col(f"cum_{m}") + F.col(f"_off_{m}")).alias(f"cum_{m}") for m in measures],

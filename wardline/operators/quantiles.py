@@ -12,6 +12,7 @@ from wardline.operators.ordering import (
     ONE_TASK_ROWS,
     order_statistics,
     running_sums,
+    null_safe_join,
     with_small_side,
 )
 from wardline.session import cut_lineage
@@ -74,7 +75,8 @@ def grouped_quantiles(
 
     Columns with few distinct values use the built-in aggregate. For the others the
     distinct values are counted first, then ranked by running sums that spread one
-    group over many tasks.
+    group over many tasks. Either way a NULL group is a group, and a group without values
+    has a NULL ``q``.
     """
     by, columns = list(by), list(columns)
     narrow, wide = narrow_and_wide(df, columns, limit)
@@ -126,11 +128,13 @@ def grouped_quantiles(
                 .otherwise((F.col("s._at") - F.floor("s._at")) * F.col("value"))
             ).alias("_q")
         )
-        parts.append(
-            weighted.groupBy(*keys)
-            .agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", "_q"))),
-                             lambda s: s["_q"]).alias("q"))
-        )
+        found = weighted.groupBy(*keys).agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("_i", "_q"))),
+                        lambda s: s["_q"]).alias("q"))
+        # Groups without any value have no quantiles, but are groups.
+        groups = df.select(*by).distinct().withColumn(
+            "column", F.explode(F.array(*[F.lit(c) for c in wide])))
+        parts.append(null_safe_join(groups, found, keys, "left").select(*keys, "q"))
     out = parts[0]
     for extra in parts[1:]:
         out = out.unionByName(extra)

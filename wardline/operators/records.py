@@ -53,17 +53,22 @@ def with_status(records: DataFrame, status: str) -> DataFrame:
     return records if status == "ALL" else records.where(F.col("status") == status)
 
 
+def _patient():
+    return F.lower(F.trim("patient_name"))
+
+
 def history_of(records: DataFrame, name: str) -> DataFrame:
     """Records of one patient, by trimmed and case-folded name."""
-    return records.where(F.lower(F.trim("patient_name")) == name.lower())
+    return records.where(_patient() == name.strip().lower())
 
 
 def latest_per_patient(records: DataFrame) -> DataFrame:
-    """The newest record of each patient, combined before the shuffle."""
+    """The newest record of each patient, by the name the history goes by; combined before
+    the shuffle."""
     newest_first = F.struct(F.col("timestamp"), -F.col("record_id"))
-    fields = [c for c in records.columns if c != "patient_name"]
-    return records.groupBy("patient_name").agg(
-        F.max_by(F.struct(*fields), newest_first).alias("_r")).select("patient_name", "_r.*")
+    fields = ["patient_name", *[c for c in records.columns if c != "patient_name"]]
+    return records.groupBy(_patient().alias("_patient")).agg(
+        F.max_by(F.struct(*fields), newest_first).alias("_r")).select("_r.*")
 
 
 def totals(records: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardline.functions.codes import digest_mod, first_match, mapped
 from wardline.functions.stats import clamp, right_closed, with_rounded_tenth
 from wardline.operators.features import AGE_CODES, AGE_EDGES, MEDICATION_CODES, STAY_CODES
-from wardline.sources.layout import CODED, DRUG_COMBINATIONS, DRUGS
+from wardline.sources.layout import DRUG_COMBINATIONS, DRUGS
 
 # Points, limits, codes, tiers, care team and texts of the score.
 BASE_POINTS = 12.5
@@ -30,6 +30,18 @@ AGE_CODE = {f"{10 * i}-{10 * i + 10}": i for i in range(10)}
 AGE_MIDDLE = {f"{10 * i}-{10 * i + 10}": 10 * i + 5 for i in range(10)}
 GENDER_CODE = {"Female": 0, "Male": 1}
 INSULIN_CODE = {"Down": 0, "No": 1, "Steady": 2, "Up": 3}
+# Model columns that a scoring input does not have.
+INPUT_DEFAULTS = {
+    "race": 2, "admission_type_id": 1, "discharge_disposition_id": 1, "admission_source_id": 7,
+    "num_procedures": 1, "number_outpatient": 0, "number_emergency": 0, "max_glu_serum": 0,
+    "A1Cresult": 0, "has_primary_diagnosis": 1, "diagnosis_diversity": 3,
+    "total_procedures": 1, "procedure_complexity_score": 1, "has_surgery": 1,
+    "emergency_admission_flag": 0, "admission_type_risk_score": 3,
+    "admission_source_risk": 3, "glucose_level_category": 0,
+    "A1C_result_category": 0, "abnormal_lab_count": 0, "discharge_to_home_flag": 1,
+    "discharge_with_services_flag": 0, "ama_discharge_flag": 0,
+    "discharge_disposition_risk": 1, "emergency_elderly": 0,
+}
 # A policy lists (tier, bound, whether the bound itself belongs to the tier), highest first.
 POLICIES = {
     "assessment": [("HIGH", 40, True), ("MODERATE", 25, True), ("LOW", None, True)],
@@ -147,30 +159,25 @@ def notice(name: Column, score: Column, status: Column, sender: str) -> Column:
 
 
 def model_inputs(df: DataFrame) -> DataFrame:
-    """The 89 model columns of a scoring input, by rule or fixed default."""
+    """The 89 model columns of a scoring input, by rule or fixed default.
+
+    An unknown insulin counts as none. Where another input is missing, columns that need it
+    are NULL.
+    """
     middle = mapped(F.col("age"), AGE_MIDDLE, 75).cast("double")
     stay = F.col("time_in_hospital").cast("double")
     labs = F.col("num_lab_procedures").cast("double")
     meds = F.col("num_medications").cast("double")
     ill = F.coalesce(F.col("has_comorbidity"), F.lit(False)).cast("int")
     treated = F.coalesce(F.col("on_medication"), F.lit(False)).cast("int")
-    insulin = F.col("insulin")
+    insulin = F.coalesce(F.col("insulin"), F.lit("No"))
     prior = F.col("number_inpatient") > 0
     per_day = F.lit(1.0) / F.greatest(F.lit(1.0), stay)
     # A scoring input above the last edge stays in the top class, unlike in training.
     stay_class = right_closed(stay, [-1e9, 3, 7, 14, 1e9], STAY_CODES)
     med_class = right_closed(meds, [-1e9, 5, 10, 1e9], MEDICATION_CODES)
     age_class = right_closed(middle, [-1e9] + AGE_EDGES[1:-1] + [1e9], AGE_CODES)
-    fixed = {"race": 2, CODED[0]: 1, CODED[1]: 1, CODED[2]: 7, "num_procedures": 1,
-             "number_outpatient": 0, "number_emergency": 0, "max_glu_serum": 0,
-             "A1Cresult": 0, "has_primary_diagnosis": 1, "diagnosis_diversity": 3,
-             "total_procedures": 1, "procedure_complexity_score": 1, "has_surgery": 1,
-             "emergency_admission_flag": 0, "admission_type_risk_score": 3,
-             "admission_source_risk": 3, "glucose_level_category": 0,
-             "A1C_result_category": 0, "abnormal_lab_count": 0, "discharge_to_home_flag": 1,
-             "discharge_with_services_flag": 0, "ama_discharge_flag": 0,
-             "discharge_disposition_risk": 1, "emergency_elderly": 0}
-    fixed |= {d: 1 for d in DRUGS if d != "insulin"} | {d: 0 for d in DRUG_COMBINATIONS}
+    fixed = INPUT_DEFAULTS | {d: 1 for d in DRUGS if d != "insulin"} | {d: 0 for d in DRUG_COMBINATIONS}
     made = {name: F.lit(float(v)) for name, v in fixed.items()}
     made |= {
         "gender": mapped(F.col("gender"), GENDER_CODE, 0),

@@ -25,20 +25,21 @@ def stratified_split(
 
     Only keys and labels are scanned to find two boundary hashes per class; labelling
     the rows is then a comparison per row, so the wide table is never shuffled and a
-    class holding most rows costs nothing extra.
+    class holding most rows costs nothing extra. A row without a label stays and has no
+    split.
     """
     digest = order_hash(F.col(key), seed=seed)
     n = F.col("n")
     cutoffs = hash_cutoffs(
-        df.select(key, label), digest, [label],
+        df.where(F.col(label).isNotNull()).select(key, label), digest, [label],
         {
             "_train_to": F.floor(n * train / 100),
             "_val_to": F.floor(n * (train + validation) / 100),
         },
     ).drop("n")
-    placed = with_small_side(df, cutoffs, [label], "inner")
+    placed = with_small_side(df, cutoffs, [label], "left")
     split = (
-        F.when(digest <= F.col("_train_to"), "train")
+        F.when(F.col(label).isNull(), None).when(digest <= F.col("_train_to"), "train")
         .when(digest <= F.col("_val_to"), "val").otherwise("test")
     )
     return placed.withColumn("split", split).drop("_train_to", "_val_to")

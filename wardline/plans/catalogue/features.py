@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wardline.functions.codes import mapped
 from wardline.operators import clean, encode, split
 from wardline.operators.features import ENGINEERED, glucose_category
+from wardline.operators.score import AGE_CODE, AGE_MIDDLE, GENDER_CODE, INSULIN_CODE
 from wardline.plans import stages
 from wardline.plans.catalogue.cleaning import rounded
 from wardline.plans.model_table import SCALED, model_columns, scaled_split, split_rows
@@ -64,6 +65,36 @@ def enc02_one_hot_vectors(spark, folder):
     )
 
 
+def _texts(spark, folder):
+    raw = stages.prepared(spark, folder)
+    return raw.select(*[c for c, t in raw.dtypes if t == "string" and c != "readmitted"])
+
+
+def enc02_encoded_columns(spark, folder):
+    """Every text column under its learned encoding: rows with each code, or with a one at each place."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    raw = _texts(spark, folder)
+    fitted = encode.fit_encoding(raw)
+    out = encode.encode(raw, fitted)
+    parts = []
+    if hot := fitted.of("one_hot_encoding"):
+        ones = out.agg(*[Summarizer.numNonZeros(F.col(f"{c}_vec")).alias(c) for c in hot])
+        parts = [ones.select(F.lit(c).alias("column"), F.posexplode(vector_to_array(c)).alias("code", "n")) for c in hot]
+    for c in fitted.of("label_encoding"):
+        parts.append(out.groupBy(F.col(c).alias("code")).agg(F.count("*").cast("double").alias("n"))
+                     .select(F.lit(c).alias("column"), "code", "n"))
+    found = parts[0]
+    for extra in parts[1:]:
+        found = found.unionByName(extra)
+    return found.withColumn("n", F.col("n").cast("bigint"))
+
+
+def enc07_fitted_map(spark, folder):
+    return encode.fitted_map(encode.fit_encoding(_texts(spark, folder)))
+
+
 def enc03_encoding_route(spark, folder):
     raw = stages.prepared(spark, folder)
     columns = [c for c, t in raw.dtypes if t == "string" and c != "readmitted"]
@@ -90,14 +121,6 @@ def enc07_encoding_map(spark, folder):
     return codes.withColumn("method", F.lit("label_encoding"))
 
 
-# Codes of the scoring inputs.
-AGE_BANDS = [f"{i}-{i + 10}" for i in range(0, 100, 10)]
-AGE_CODE = {b: i for i, b in enumerate(AGE_BANDS)}
-AGE_MIDDLE = {b: 10 * i + 5 for i, b in enumerate(AGE_BANDS)}
-GENDER_CODE = {"Female": 0, "Male": 1}
-INSULIN_CODE = {"Down": 0, "No": 1, "Steady": 2, "Up": 3}
-
-
 def enc08_fixed_codes(spark, folder):
     raw = stages.raw(spark, folder)
     band = F.translate("age", "[)", "")
@@ -193,7 +216,7 @@ def cln06_model_input_impute(spark, folder):
 
 QUERIES = {name: _group(columns) for name, columns in GROUPS.items()}
 QUERIES |= {f.__name__: f for f in (
-    fe50_glucose_category, enc01_binary_codes, enc02_one_hot_wide, enc02_one_hot_vectors,
+    fe50_glucose_category, enc01_binary_codes, enc02_one_hot_wide, enc02_one_hot_vectors, enc02_encoded_columns, enc07_fitted_map,
     enc03_encoding_route, enc04_label_encoded, enc05_class_code, enc06_binary_target,
     enc07_encoding_map, enc08_fixed_codes, encoded_model_table, prj03_feature_projection,
     ml01_split, ml01_split_orders, ml02_leakage_checks, ml18_positive_rate,

@@ -10,13 +10,12 @@ from wardline.plans.catalogue.cleaning import rounded
 from wardline.plans.catalogue.scoring import scoring_inputs
 from wardline.plans.model_table import model_columns, scaled_split, split_rows
 from wardline.sources.encounters import table
+from wardline.session import work_path
 from wardline.sources.layout import KEY
 
 # Whole-number columns, so distances are exact on every engine.
 WHOLE = ["time_in_hospital", "num_lab_procedures", "num_medications", "number_inpatient",
          "number_diagnoses", "age_midpoint"]
-# Sizes of the registered fits; the operators default to the full ones.
-TREES, BOOSTS = 40, 20
 
 
 def _train(spark, folder):
@@ -67,9 +66,9 @@ def fitted(spark, folder):
         features = model_columns(rows)
         train = model.kept_for_fit(rows.where(F.col("split") == "train"))
         models = {
-            "Gradient Boosting": model.fit_boosting(train, features, trees=BOOSTS),
+            "Gradient Boosting": model.fit_boosting(train, features),
             "Logistic Regression": model.fit_logistic(train, features),
-            "Random Forest": model.fit_forest(train, features, trees=TREES),
+            "Random Forest": model.fit_forest(train, features),
         }
         train.unpersist()
         return models, features
@@ -121,30 +120,47 @@ def ml16_partial_dependence(spark, folder):
         models["Random Forest"], _test(spark, folder), features, top)
 
 
+def _scorer(spark, folder):
+    models, features = fitted(spark, folder)
+    return model.Scorer(models["Random Forest"], dict(scaled_split(spark, folder)[1]), list(features))
+
+
 def scr03_model_score(spark, folder):
     """Scores of all inputs by the fitted forest."""
-    models, features = fitted(spark, folder)
-    return score_with(
-        models["Random Forest"], scaled_split(spark, folder)[1], features,
-        scoring_inputs(spark, folder))
+    return score_with(_scorer(spark, folder), scoring_inputs(spark, folder))
+
+
+def score_with(scorer, inputs):
+    """Each input's score: the model's where there is one and all its columns are known, else the
+    rule-based one, to which a missing number counts as zero."""
+    known = inputs.fillna(0, [c for c, t in inputs.dtypes if c != KEY and t in ("int", "bigint", "double")])
+    ruled = score.with_rule_score(known).select(KEY, F.col("risk_score").alias("_rule"))
+    if scorer is None:
+        return ruled.select(KEY, F.col("_rule").alias("risk_score"))
+    probable = model.probability(scorer, score.model_inputs(inputs)).select(KEY, "patient_name", "probability")
+    scored = score.with_model_score(probable.where("probability is not null")).select(KEY, "risk_score")
+    return ruled.join(scored, KEY, "left").select(KEY, F.coalesce("risk_score", "_rule").alias("risk_score"))
+
 
+def scr04_fallback_score(spark, folder):
+    """Scores where no model is stored."""
+    stored = model.load_scorer(spark, work_path(spark, "no-scorer"))
+    return score_with(stored, scoring_inputs(spark, folder))
 
-def score_with(fitted_model, scaler, features, inputs):
-    """Inputs to model columns, scaled, predicted, turned into a score."""
-    from wardline.operators.encode import scale
 
-    ready = scale(score.model_inputs(inputs), scaler)
-    scored = fitted_model.transform(model.assemble(ready, features))
-    probable = scored.select(
-        KEY, "patient_name", model.vector_to_array("probability")[1].alias("probability"))
-    return score.with_model_score(probable).select(KEY, "risk_score")
+def scr04_stored_model_score(spark, folder):
+    """Scores by the model, scaler and feature order that were stored together; every hundredth
+    input lacks its length of stay and gets the rule-based one."""
+    path = stages.once(spark, folder, "scorer", lambda: _stored(spark, folder))
+    inputs = scoring_inputs(spark, folder)
+    gaps = inputs.withColumn("time_in_hospital", F.when(F.col(KEY) % 100 != 0, F.col("time_in_hospital")))
+    return score_with(model.load_scorer(spark, path), gaps)
 
 
-def scr04_fallback_score(spark, folder, available=False):
-    """The model score when model and scaler exist, the rule-based one otherwise."""
-    if available:
-        return scr03_model_score(spark, folder)
-    return score.with_rule_score(scoring_inputs(spark, folder)).select(KEY, "risk_score")
+def _stored(spark, folder):
+    path = work_path(spark, "scorer")
+    model.save_scorer(spark, _scorer(spark, folder), path)
+    return path
 
 
 QUERIES = {f.__name__: f for f in (
@@ -153,5 +169,5 @@ QUERIES = {f.__name__: f for f in (
     jn08_embedding_neighbours, ml04_fitted_models, ml05_predictions,
     ml12_fitted_comparison, ml14_impurity_importance, top05_strongest_importances,
     ml15_permutation_importance, ml16_partial_dependence, scr03_model_score,
-    scr04_fallback_score,
+    scr04_fallback_score, scr04_stored_model_score,
 )}
