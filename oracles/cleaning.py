@@ -5,6 +5,7 @@ from __future__ import annotations
 from oracles.blocks import GAPPED, upto, union_all
 from wardline.operators.features import ENGINEERED
 from wardline.sources.layout import (
+    CODED,
     COLUMN_ORDER, KEY, LABEL_CODED, NOT_MODELLED, NUMERIC, PATIENT,
 )
 
@@ -69,6 +70,7 @@ def validation(feature: str) -> str:
 _T = "feat_t AS (SELECT *, CAST(CASE readmitted WHEN '<30' THEN 0 WHEN '>30' THEN 1 WHEN 'NO' THEN 2 END AS DOUBLE) AS tc FROM feat)"
 MODEL = [c for c in COLUMN_ORDER if c not in NOT_MODELLED + [KEY, PATIENT, "readmitted"]] + ENGINEERED
 
+_WHOLE = NUMERIC + CODED + [KEY, PATIENT]
 SQL = {
     "prf01_table_profile": union_all(
         f"SELECT '{c}' AS \"column\", '{t}' AS dtype, {i} AS position, (SELECT count(*) FROM lineitem) AS row_count, {len(_LINEITEM)} AS column_count"
@@ -76,6 +78,9 @@ SQL = {
     "prf02_null_profile": upto("tok", nulls("tok")),
     "prf02_top_gaps": upto("tok", f"SELECT * FROM ({nulls('tok')}) t WHERE missing_count > 0 ORDER BY missing_pct DESC, \"column\" LIMIT 20"),
     "prf03_duplicate_count": "SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) t",
+    "prf03_duplicate_rows": "SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows FROM (SELECT *, count(*) AS n FROM lineitem GROUP BY ALL) t",
+    "prf04_describe_all": upto("tok", union_all(
+        [describe_text("tok", c) for c in COLUMN_ORDER if c not in _WHOLE] + [describe_number("tok", c, 6) for c in COLUMN_ORDER if c in _WHOLE])),
     "prf04_describe_encounters": upto("tok", union_all(
         [describe_text("tok", c) for c in ("race", "gender", "payer_code", "diag_1", "insulin", "readmitted")]
         + [describe_number("tok", c, 6) for c in NUMERIC])),
@@ -112,6 +117,7 @@ FROM (SELECT (SELECT count(*) FROM tok) AS rb, (SELECT count(*) FROM prep) AS ra
     "cln02_mode_impute": upto("imp", f"SELECT encounter_id, {', '.join(GAPPED)} FROM imp"),
     "cln03_imputation_log": upto("tok", union_all(
         f"(SELECT '{c}' AS \"column\", 'mode' AS strategy, {c} AS value FROM tok WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)" for c in GAPPED)),
+    "cln04_distinct_whole_rows": "SELECT DISTINCT * FROM lineitem",
     "cln04_distinct_rows": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     "cln04_duplicate_samples": "SELECT l_orderkey, l_linenumber, count(*) - 1 AS surplus FROM lineitem GROUP BY ALL HAVING count(*) > 1 ORDER BY l_orderkey, l_linenumber LIMIT 5",
     "cln05_constant_fill": upto("tok", "SELECT encounter_id, coalesce(weight, '0') AS weight, coalesce(payer_code, 'none') AS payer_code FROM tok"),

@@ -92,6 +92,7 @@ _P = _T.replace("feat_t", "prep_t").replace("FROM feat", "FROM prep")
 _bands = [f"[{i}-{i + 10})" for i in range(0, 120, 10)]
 _left = sorted(set(COLUMN_ORDER) - set(NUMERIC) - {"readmitted", "encounter_id", "patient_nbr"})
 
+_GAPS = "gaps AS (SELECT payer_code, {} FROM tok)".format(", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC))
 SQL = {
     "agg01_class_shares": upto("prep", shares("prep", "readmitted")),
     "agg01_race_shares": upto("prep", shares("prep", "race")),
@@ -103,6 +104,10 @@ SQL = {
     "agg04_age_by_class": upto("prep", cross("prep", "age")),
     "agg05_stay_by_class": upto("prep", "SELECT readmitted, round(avg(time_in_hospital), 2) AS mean, round(quantile_cont(time_in_hospital, 0.5), 2) AS median, round(stddev_samp(time_in_hospital), 2) AS std FROM prep GROUP BY readmitted"),
     "agg06_class_stats": upto("prep", class_stats("prep", NUMERIC, "readmitted", 3)),
+    "agg06_class_stats_gaps": upto("tok", class_stats("gaps", NUMERIC[:3], "payer_code", 3), _GAPS),
+    "agg06_class_stats_gaps_spread": upto("tok", class_stats("gaps", NUMERIC[:3], "payer_code", 3), _GAPS),
+    "agg10_histogram_gaps": upto("tok", hist("gaps", ["time_in_hospital"], 14, 6, "payer_code").replace("r.payer_code = s.payer_code", "r.payer_code IS NOT DISTINCT FROM s.payer_code"), _GAPS),
+    "agg11_box_stats_gaps": upto("tok", box("gaps", "number_inpatient", "payer_code", 6).replace("q USING (payer_code)", "q ON gaps.payer_code IS NOT DISTINCT FROM q.payer_code").replace("SELECT payer_code, round(q1", "SELECT gaps.payer_code, round(q1").replace("GROUP BY payer_code, q1, m, q3", "GROUP BY gaps.payer_code, q1, m, q3"), _GAPS),
     "agg06_class_stats_lineitem": class_stats("lineitem", MEASURES, "l_returnflag", 3),
     "agg07_part_stats": upto("spl", union_all(
         f"SELECT split, '{c}' AS \"column\", round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, round(min({c}), 4) AS min, round(max({c}), 4) AS max, "

@@ -100,3 +100,25 @@ def test_split_of_a_tiny_class(spark):
     df = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "k bigint, label int")
     got = {r.k: r.split for r in stratified_split(df, "k", "label").collect()}
     assert got[1] == "test" and len(got) == 3
+
+
+@pytest.mark.parametrize("limit", [10_000, 20])
+def test_null_keys_are_keys_on_either_path(spark, limit):
+    rows = [(None if i % 2 else "a", float(i), 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, v double, m bigint").repartition(3)
+    got = {(r.k, r.v): r.cum_m for r in running_sums(df, ["v"], ["m"], ["k"], one_task_rows=limit).collect()}
+    assert got == {(k, v): int(v) // 2 + 1 for k, v, _ in rows}
+
+
+@pytest.mark.parametrize("distinct, limit", [(1_000, 10_000), (1, 10_000), (1, 20)])
+def test_quantiles_of_null_and_empty_groups(spark, distinct, limit):
+    rows = [(None, float(i)) for i in range(101)] + [("a", float(i)) for i in range(51)] + [("none", None)] * 3
+    df = spark.createDataFrame(rows, "k string, v double").repartition(3)
+    got = {r.k: r.q for r in grouped_quantiles(df, ["k"], ["v"], [0.25, 0.5], limit=distinct, one_task_rows=limit).collect()}
+    assert got == {None: [25.0, 50.0], "a": [12.5, 25.0], "none": None}
+
+
+def test_rows_without_a_label_stay_without_a_split(spark):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else i % 2) for i in range(80)], "k bigint, y int")
+    rows = stratified_split(df, "k", "y").collect()
+    assert len(rows) == 80 and all((r.split is None) == (r.y is None) for r in rows)

@@ -54,12 +54,12 @@ def cross_tab(df: DataFrame, rows: str, columns: str, values: Sequence) -> DataF
     return counted
 
 
-def class_stats(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
-    """(column, group, mean, median, std, min, max) of every column in each class."""
+def class_stats(df: DataFrame, columns: Sequence[str], group: str, **limits) -> DataFrame:
+    """(column, group, mean, median, std, min, max) of every column in each class, NULL being one."""
     fields = {f: "double" for f in ("mean", "std", "min", "max")}
     wide = df.groupBy(group).agg(*aggregates(
         columns, mean=F.avg, std=F.stddev_samp, min=F.min, max=F.max))
-    middle = grouped_quantiles(df, [group], columns, [0.5]).select(
+    middle = grouped_quantiles(df, [group], columns, [0.5], **limits).select(
         group, "column", F.col("q")[0].alias("median"))
     return null_safe_join(row_per_column(wide, columns, fields, [group]), middle, [group, "column"], "left")
 
@@ -117,9 +117,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int, group: str | Non
     return null_safe_join(slots, binned, by + ["column", "bin"], "left").fillna(0, ["n"])
 
 
-def box_stats(df: DataFrame, column: str, group: str, whisker: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, column: str, group: str, whisker: float = 1.5, **limits) -> DataFrame:
     """Five-number summary per class, whiskers at the last values inside the fences."""
-    q = grouped_quantiles(df, [group], [column], [0.25, 0.5, 0.75]).select(
+    q = grouped_quantiles(df, [group], [column], [0.25, 0.5, 0.75], **limits).select(
         group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
         F.col("q")[2].alias("q3"))
     spread = whisker * (F.col("q3") - F.col("q1"))

@@ -48,6 +48,17 @@ def prf03_duplicate_count(spark, folder):
         table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"))
 
 
+def prf03_duplicate_rows(spark, folder):
+    """Surplus copies among whole rows."""
+    return profile.duplicate_count(table(spark, folder, "lineitem"))
+
+
+def prf04_describe_all(spark, folder):
+    """Every column of the raw encounters, whole numbers with their quartiles."""
+    raw = known(spark, folder)
+    return rounded(profile.describe(raw, raw.columns))
+
+
 def prf04_describe_encounters(spark, folder):
     columns = ["race", "gender", "payer_code", "diag_1", "insulin", "readmitted"] + NUMERIC
     return rounded(profile.describe(known(spark, folder), columns))
@@ -133,6 +144,10 @@ def cln04_distinct_rows(spark, folder):
         table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"))
 
 
+def cln04_distinct_whole_rows(spark, folder):
+    return clean.distinct_rows(table(spark, folder, "lineitem"))
+
+
 def cln04_duplicate_samples(spark, folder):
     pairs = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
     return clean.duplicate_rows(pairs).orderBy("l_orderkey", "l_linenumber").limit(5)
@@ -173,7 +188,7 @@ QUERIES = {f.__name__: f for f in (
     prf06_columns_per_type, prf07_null_change, prf08_quality_score, prf09_null_check,
     prf10_distinct_counts, prf11_feature_validation, prf12_feature_kinds, prf13_model_kinds,
     prf14_column_totals, cln01_median_impute, cln02_mode_impute, cln03_imputation_log,
-    cln04_distinct_rows, cln04_duplicate_samples, cln05_constant_fill,
+    cln04_distinct_rows, cln04_distinct_whole_rows, prf03_duplicate_rows, prf04_describe_all, cln04_duplicate_samples, cln05_constant_fill,
     cln_imputed_and_typed, out01_outlier_report, out01_outlier_report_lineitem,
     out02_winsorised, out02_winsorised_lineitem,
 )}

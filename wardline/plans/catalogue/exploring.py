@@ -63,6 +63,31 @@ def agg06_class_stats(spark, folder):
         explore.class_stats(stages.prepared(spark, folder), NUMERIC, "readmitted"), 3)
 
 
+# Limits so small that quantiles take the spread path at any scale.
+SPREAD = {"limit": 2, "one_task_rows": 50}
+
+
+def _with_gaps(spark, folder):
+    return known(spark, folder).select("payer_code", *[F.col(c).cast("double").alias(c) for c in NUMERIC])
+
+
+def agg06_class_stats_gaps(spark, folder):
+    """Classes with an unknown one among them."""
+    return rounded(explore.class_stats(_with_gaps(spark, folder), NUMERIC[:3], "payer_code"), 3)
+
+
+def agg06_class_stats_gaps_spread(spark, folder):
+    return rounded(explore.class_stats(_with_gaps(spark, folder), NUMERIC[:3], "payer_code", **SPREAD), 3)
+
+
+def agg10_histogram_gaps(spark, folder):
+    return rounded(explore.histogram(_with_gaps(spark, folder), ["time_in_hospital"], 14, "payer_code"))
+
+
+def agg11_box_stats_gaps(spark, folder):
+    return rounded(explore.box_stats(_with_gaps(spark, folder), "number_inpatient", "payer_code", **SPREAD))
+
+
 def agg06_class_stats_lineitem(spark, folder):
     return rounded(
         explore.class_stats(lines(spark, folder), MEASURES, "l_returnflag"), 3)
@@ -236,3 +261,5 @@ def set04_columns_left(spark, folder):
 QUERIES = {name: f for name, f in list(globals().items())
            if callable(f) and name[:3] in ("agg", "srt", "flt", "top", "smp", "jn0", "set")
            and getattr(f, "__module__", "") == __name__}
+QUERIES |= {f.__name__: f for f in (
+    agg06_class_stats_gaps, agg06_class_stats_gaps_spread, agg10_histogram_gaps, agg11_box_stats_gaps)}
