@@ -25,11 +25,14 @@ _MAGIC = b"WTI1"
 class _Model:
     """The state of all blocks, which encoder and decoder change alike."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, wide: int):
+        # The largest id stands for no prediction; where it is an id itself it is just not predicted.
+        kind = np.uint16 if wide == 16 else np.uint32
+        self.none = np.iinfo(kind).max
         lane = np.arange(lanes, dtype=np.int64)
         self.base1, self.base2, self.base = lane << _H1, lane << _H2, lane * 4
-        self.by1 = np.full((lanes << _H1), -1, np.int32)
-        self.by2 = np.full((lanes << _H2), -1, np.int32)
+        self.by1 = np.full(lanes << _H1, self.none, kind)
+        self.by2 = np.full(lanes << _H2, self.none, kind)
         self.one = np.zeros(lanes, np.int64)
         self.two = np.zeros(lanes, np.int64)
         # How often order 2, order 1, order 0 and none of them had the id, by which predictions there are.
@@ -51,8 +54,8 @@ class _Model:
         self.at1 = self.base1[:n] + ((one * 0x9E3779B1 >> 9) & ((1 << _H1) - 1))
         self.at2 = self.base2[:n] + (((one * 0x85EBCA6B + self.two[:n] * 0xC2B2AE35) >> 9) & ((1 << _H2) - 1))
         first, second = self.by2[self.at2], self.by1[self.at1]
-        known = (second >= 0) & (second != first)
-        self.row = self.base[:n] + (first >= 0) + (known << 1)
+        known = (second != self.none) & (second != first)
+        self.row = self.base[:n] + (first != self.none) + 2 * known
         return first, second
 
     def learn(self, n: int, ids: np.ndarray, kind: np.ndarray) -> None:
@@ -70,7 +73,7 @@ class _Model:
             return False
         size = min(t, _RECENT)
         self.bits = size.bit_length() - 1
-        self.recent = np.sort(ids[:n, t - size : t], axis=1)
+        self.recent = np.sort(np.ascontiguousarray(ids[t - size : t, :n].T), axis=1)
         edge = np.ones((n, size + 1), bool)
         edge[:, 1:-1] = self.recent[:, 1:] != self.recent[:, :-1]
         place = np.arange(size + 1, dtype=np.int32)
@@ -91,10 +94,11 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
     sizes = np.minimum(block, len(ids) - np.arange(blocks) * block)
     table = np.zeros((blocks, block), np.int64)
     table.ravel()[: len(ids)] = ids
+    steps = np.ascontiguousarray(table.T)  # a row for each step
     room = block + block * (wide == 32) + 8
     out, used = np.zeros(blocks * room, np.uint32), np.arange(blocks) * room
     low, span = np.zeros(blocks, np.uint64), np.full(blocks, ~_U(0))
-    model, slots = _Model(blocks), None
+    model, slots = _Model(blocks, wide), None
 
     def emit(i, words):
         out[used[i]] = words
@@ -102,13 +106,15 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
 
     for t in range(int(sizes.max()) if blocks else 0):
         n = blocks if t < sizes[-1] else blocks - 1  # only the last block can be shorter
-        if model.redraw(n, t, table):
+        if model.redraw(n, t, steps):
+            # Where in the block's recent ids those up to the next change are found, if they are.
             ahead = table[:n, t : t + _EVERY]
-            name = (model.recent + (np.arange(n) << 33)[:, None]).ravel()
-            asked = (ahead + (np.arange(n) << 33)[:, None]).ravel()
-            place = np.minimum(np.searchsorted(name, asked), len(name) - 1)
-            slots, since = np.ascontiguousarray(np.where(name[place] == asked, place, -1).reshape(ahead.shape).T), t
-        now = np.ascontiguousarray(table[:n, t])
+            place = np.empty(ahead.shape, np.int64)
+            for k in range(n):
+                place[k] = model.recent[k].searchsorted(ahead[k])
+            place = np.minimum(place, model.recent.shape[1] - 1) + (np.arange(n) << model.bits)[:, None]
+            slots, since = np.ascontiguousarray(np.where(model.flat[place] == ahead, place, -1).T), t
+        now = steps[t, :n]
         first, second = model.predict(n)
         kind = 3 - (slots[t - since, :n] >= 0) if slots is not None else np.full(n, 3)
         kind[now == second] = 1
@@ -187,15 +193,15 @@ def decode(frame: bytes, only: list[int] | None = None) -> np.ndarray:
         code = code << _U(32) | words[at]
         at = at + 1
     low, span = np.zeros(n_lanes, np.uint64), np.full(n_lanes, ~_U(0))
-    table, model = np.zeros((n_lanes, int(sizes.max()) if n_lanes else 0), np.int64), _Model(n_lanes)
+    steps, model = np.zeros((int(sizes.max()) if n_lanes else 0, n_lanes), np.int64), _Model(n_lanes, wide)
 
     def take(i, _):
         code[i] = code[i] << _U(32) | words[np.minimum(at[i], len(words) - 1)]
         at[i] += 1
 
-    for t in range(table.shape[1]):
+    for t in range(len(steps)):
         n = int(np.searchsorted(-sizes, -t, "left"))
-        model.redraw(n, t, table)
+        model.redraw(n, t, steps)
         first, second = model.predict(n)
         l, s, c = low[:n], span[:n], code[:n]
         r = s >> _U(12)
@@ -234,8 +240,9 @@ def decode(frame: bytes, only: list[int] | None = None) -> np.ndarray:
                 l[written] += s[written] * q
                 now[written] = now[written] << 16 | q.astype(np.int64)
                 _shift(l, s, take)
-        table[:n, t] = now
+        steps[t, :n] = now
         model.learn(n, now, kind)
+    table = np.ascontiguousarray(steps.T)
     rows = {int(k): table[i, : sizes[i]].astype("<u4") for i, k in enumerate(order)}
     for k in chosen.tolist():
         if zlib.crc32(rows[k]) != head["crc"][k]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from wardline.llm.words import WordHasher, mix, slices
 
 #: Distinct words whose ids a worker keeps; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_500_000
 
 
 def vocabulary(name: str) -> str:
@@ -84,9 +84,8 @@ class WordTokens:
         self.ids = np.concatenate([self.ids, *found])
         new = np.arange(len(names)) + len(self.starts) - 1
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in found])])
-        names = np.concatenate([self.names, names])
-        order = np.argsort(names, kind="stable")
-        self.names, self.place = names[order], np.concatenate([self.place, new])[order]
+        at = np.searchsorted(self.names, names)  # both are in order
+        self.names, self.place = np.insert(self.names, at, names), np.insert(self.place, at, new)
 
     def _plain(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Rows that are the words one after the other; where spaces count, one blank or new line between them."""
