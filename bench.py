@@ -97,10 +97,12 @@ def main() -> None:
     test = scaled.where(F.col("split") == "test")
     timed("balance_training_rows", lambda: staged(
         balance.balance(train, KEY, "label", features), "balanced"))
-    timed("fit_logistic", lambda: model.fit_logistic(train, features))
-    timed("fit_forest", lambda: model.fit_forest(train, features))
+    ready = model.kept_for_fit(train, features)  # assembled within the first fit
+    timed("fit_logistic", lambda: model.fit_logistic(ready, features))
+    timed("fit_forest", lambda: model.fit_forest(ready, features))
     if not quick:
-        timed("fit_boosting", lambda: model.fit_boosting(train, features))
+        timed("fit_boosting", lambda: model.fit_boosting(ready, features))
+    ready.unpersist()
     models = {n: made[n] for n in ("fit_logistic", "fit_forest", "fit_boosting") if n in made}
 
     def evaluation():
@@ -118,7 +120,7 @@ def main() -> None:
 
     queries = all_queries()
     for name in ("prf02_null_profile", "prf04_describe_lineitem", "out01_outlier_report_lineitem",
-                 "agg06_class_stats_lineitem", "cln04_distinct_rows", "scr01_rule_score",
+                 "agg06_class_stats_lineitem", "cln04_distinct_rows", "cln04_distinct_whole_rows", "prf03_duplicate_rows", "scr01_rule_score",
                  "win05_latest_per_patient", "scr09_merged_feed", "txt01_topic_counts"):
         timed(name, lambda n=name: drain(queries[n](spark, folder)))
     scored = predictions(spark, folder)

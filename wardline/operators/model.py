@@ -31,6 +31,9 @@ NODE_MEMORY = 1024
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Add the feature vector; a table that has one already is left as it is."""
+    if "features" in df.columns:
+        return df
     return VectorAssembler(
         inputCols=list(features), outputCol="features", handleInvalid="error").transform(df)
 
@@ -96,9 +99,13 @@ def predict_all(models: Mapping[str, object], rows: DataFrame, features: Sequenc
     return out
 
 
-def kept_for_fit(df: DataFrame) -> DataFrame:
-    """Training rows are read once per pass of a fit; keep them, spilling to disk."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def kept_for_fit(df: DataFrame, features: Sequence[str] | None = None, label: str = "label") -> DataFrame:
+    """Training rows are read once per pass of a fit; keep them, spilling to disk.
+
+    With ``features`` only their vector and the label are kept, so fits share one assembly.
+    """
+    kept = df if features is None else assemble(df, features).select("features", label)
+    return kept.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 class Scorer(NamedTuple):

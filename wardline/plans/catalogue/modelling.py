@@ -64,7 +64,7 @@ def fitted(spark, folder):
     def build():
         rows = scaled_split(spark, folder)[0]
         features = model_columns(rows)
-        train = model.kept_for_fit(rows.where(F.col("split") == "train"))
+        train = model.kept_for_fit(rows.where(F.col("split") == "train"), features)
         models = {
             "Gradient Boosting": model.fit_boosting(train, features),
             "Logistic Regression": model.fit_logistic(train, features),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -22,6 +24,7 @@ def local_session(cpus: str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.debug.maxToStringFields", "50")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -47,7 +50,9 @@ def shared_folder(spark: SparkSession) -> str:
         return current
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="wardline-"))
+    own = tempfile.mkdtemp(prefix="wardline-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    context.setCheckpointDir(own)
     return context.getCheckpointDir()
 
 
@@ -68,11 +73,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a stage to the shared folder as Parquet and continue from the files.
 
-    Like ``cut_lineage``, but later reads still prune columns and push filters down.
+    Like ``cut_lineage``, but later reads still prune columns and push filters down. The
+    files go when the session's process ends.
     """
-    path = work_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = work_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.parquet(path)
 
 
 def collect_together(builders: Sequence[Callable[[], DataFrame]], threads: int = 4) -> list:
