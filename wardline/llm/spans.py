@@ -2,7 +2,7 @@
 
 Texts are kept in chunks of some megabytes. Every chunk counts its windows in a sketch; the sketches,
 cut into ranges of counters, are merged by range, and each chunk gets back which of its own counters
-reached two. Only windows whose counters all did go on to exact grouping by 128-bit fingerprint, again in
+reached two. Only windows whose counters all did go on to exact grouping by 96-bit fingerprint, again in
 hash ranges that each hold one entry for a window and chunk. Counters can only be too high, so no repeated
 window is lost; at any size a range is of bounded size and nothing is broadcast.
 """
@@ -48,7 +48,7 @@ def _chunk_rows(batches):
     """Consecutive rows in chunks: keys, which of them are null, text sizes, and the texts compressed."""
     part, number = TaskContext.get().partitionId(), 0
     names = ["chunk", "keys", "known", "sizes", "blob"]
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         keys = batch.column(0)
         for i, j, data, offsets in slices(batch.column(1), CHUNK_BYTES):
@@ -149,7 +149,7 @@ def _repeated(size: int, ranges: int, depth: int):
                         k = np.minimum(np.searchsorted(marked[row], place), len(marked[row]) - 1)
                         keep &= marked[row][k] == place if len(marked[row]) else False
                     hs.append(h[keep])
-                    gs.append(g[keep])
+                    gs.append(g[keep].astype(np.uint32))
                     ds.append(np.asarray(keys, np.int64)[at + words.doc[first[keep]]])
                 h, g, d = map(np.concatenate, (hs, gs, ds))
                 order = np.lexsort((d, g, h))
@@ -175,7 +175,7 @@ def _repeated(size: int, ranges: int, depth: int):
 
 def _exact(table: pa.Table) -> pa.Table:
     """The first key of every window of a range; each chunk gets those of its windows that an earlier key has."""
-    blobs = [_unpack(b, np.uint64, np.uint64, np.int64, np.bool_) for b in table["windows"].to_pylist()]
+    blobs = [_unpack(b, np.uint64, np.uint32, np.int64, np.bool_) for b in table["windows"].to_pylist()]
     h, g, d, several = (np.concatenate(x) for x in zip(*blobs))
     owner = np.repeat(np.arange(len(blobs)), [len(b[0]) for b in blobs])
     order = np.lexsort((g, h))
@@ -192,7 +192,7 @@ def _exact(table: pa.Table) -> pa.Table:
         m = np.flatnonzero(late[bounds[k] : bounds[k + 1]]) + bounds[k]
         if len(m):
             chunks.append(names[k])
-            out.append(_pack(h[m], g[m], least[m]))
+            out.append(_pack(h[m], least[m]))
     return pa.table({"chunk": pa.array(chunks, pa.int64()), "late": pa.array(out, pa.binary())})
 
 
@@ -201,24 +201,17 @@ def _removed(size: int, with_text: bool):
         windows = _Windows(size)
         for batch in batches:
             for keys, known, sizes, blob, late in zip(*(batch.column(c).to_pylist() for c in ("keys", "known", "sizes", "blob", "late"))):
-                parts = [_unpack(x, np.uint64, np.uint64, np.int64) for x in late or []]
-                h0, g0, least = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-                order = np.lexsort((g0, h0))
-                h0, g0, least = h0[order], g0[order], least[order]
+                parts = [_unpack(x, np.uint64, np.int64) for x in late or []]
+                h0, least = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                order = np.argsort(h0, kind="stable")
+                h0, least = h0[order], least[order]
                 out: list[list] = [[], [], [], [], []]
-                for at, to, data, words, first, h, g in windows.read(sizes, blob, True):
+                for at, to, data, words, first, h, g in windows.read(sizes, blob, False):
                     covered = np.zeros(len(words.hash) + 1, np.int64)
                     if len(h0):
-                        k = np.searchsorted(h0, h)
-                        hit = np.zeros(len(h), bool)
-                        mine = np.asarray(keys, np.int64)[at + words.doc[first]]
-                        while True:  # windows of equal first fingerprint follow each other
-                            same = (k < len(h0)) & (h0[np.minimum(k, len(h0) - 1)] == h)
-                            if not same.any():
-                                break
-                            i = np.minimum(k, len(h0) - 1)
-                            hit |= same & (g0[i] == g) & (least[i] < mine)
-                            k = np.where(same, k + 1, len(h0))
+                        # Within a chunk the first fingerprint, of 64 bits, names a window.
+                        k = np.minimum(np.searchsorted(h0, h), len(h0) - 1)
+                        hit = (h0[k] == h) & (least[k] < np.asarray(keys, np.int64)[at + words.doc[first]])
                         np.add.at(covered, first[hit], 1)
                         np.add.at(covered, first[hit] + size, -1)
                     gone = np.cumsum(covered[:-1]) > 0
@@ -253,10 +246,11 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", size
     found = (chunks.select("chunk", "sizes", "blob").mapInArrow(_sketch(size, ranges, depth), "range bigint, chunk bigint, counts binary")
              .groupBy("range").applyInArrow(_merge, "chunk bigint, range bigint, found binary"))
     found = found.groupBy("chunk").agg(F.collect_list(F.struct("range", "found")).alias("found"))
-    late = (chunks.join(found, "chunk").select("chunk", "keys", "sizes", "blob", "found")
+    # Both joins deal the chunks out alike, so Spark moves them once.
+    late = (chunks.join(found, "chunk", "left").select("chunk", "keys", "known", "sizes", "blob", "found")
             .mapInArrow(_repeated(size, ranges, depth), "range bigint, chunk bigint, windows binary")
             .groupBy("range").applyInArrow(_exact, "chunk bigint, late binary"))
     late = late.groupBy("chunk").agg(F.collect_list("late").alias("late"))
-    out = chunks.join(late, "chunk", "left").select("keys", "known", "sizes", "blob", "late").mapInArrow(
+    out = chunks.join(late, "chunk", "left").select("chunk", "keys", "known", "sizes", "blob", "late").mapInArrow(
         _removed(size, with_text), "key bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
     return out.withColumnRenamed("key", key)
