@@ -7,5 +7,6 @@ from oracles.scoring import _R, plain
 SQL = {
     "str01_scored_stream": plain("SELECT * EXCLUDE (origin, label) REPLACE (strftime(timestamp, '%Y-%m-%d') AS timestamp) FROM rec", *_R),
     "str02_without_resent": plain("SELECT record_id, status FROM rec", *_R),
+    "str02_resent_within_days": plain("SELECT record_id, status FROM rec", *_R),
     "str03_status_windows": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS start, event_type AS status, count(*) AS n, round(avg(value), 6) AS avg_risk FROM events GROUP BY 1, 2",
 }

@@ -1,5 +1,6 @@
 """The driver contract: lists load without a session, entry runs, answers match the SQL."""
 
+import shutil
 import subprocess
 import sys
 from pathlib import Path
@@ -45,3 +46,11 @@ def test_answers_do_not_depend_on_the_number_of_shuffle_partitions(spark, folder
             assert compare(df, con, entry.oracle_sql()[name]) == []
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_all_else_works_without_the_corpus_operators(tmp_path):
+    shutil.copytree(ROOT, tmp_path / "repo", ignore=lambda d, names: [
+        n for n in names if n in (".git", "llm", "corpus_pipeline.py", "__pycache__")])
+    code = ("import __spark_entry__ as e; q = e.queries(); "
+            "assert len(q) > 150 and not any(n.startswith('op') or n == 'pipeline' for n in q) and set(e.oracle_sql()) <= set(q)")
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", check=True, timeout=120)
