@@ -14,7 +14,7 @@ from wardline.llm.packing import pack
 from wardline.llm.parity import near_groups
 from wardline.llm.quality import fit_quality, quality_score
 from wardline.llm.queries import END, THRESHOLD
-from wardline.llm.tables import remainder, table
+from wardline.llm.tables import fold_ascii, remainder, small, table
 from wardline.llm.templates import leaks
 from wardline.llm.tokens import vocabulary
 from wardline.session import staged
@@ -28,9 +28,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one of the largest id."""
-    gone = exact_groups(docs).where(~F.col("kept")).select("doc_id")
-    return _without(docs, gone)
+    """Of equal texts the one of the largest id. Rows without an id stay; of rows that repeat id and text
+    one stays."""
+    groups = staged(exact_groups(docs).where(~F.col("kept")), "gone")
+    kept = _without(docs, groups.where("doc_id != keep_id").select("doc_id"))
+    twice = small(groups.where("doc_id = keep_id").select("doc_id").distinct())
+    again = kept.join(twice, "doc_id", "left_semi").withColumn(
+        "_same", F.sha2(fold_ascii(F.coalesce("text", F.lit(""))), 256)).dropDuplicates(["doc_id", "_same"])
+    return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(again.select(docs.columns))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
