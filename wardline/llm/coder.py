@@ -44,7 +44,7 @@ class _Model:
         """The share of the range that each order gets, in 4096ths; each keeps a little."""
         counts = self.counts.reshape(-1, 4)
         sums = np.cumsum(counts, axis=1)
-        share = np.zeros((len(counts), 5), np.int32)
+        share = np.zeros((len(counts), 5), np.uint64)
         share[:, 1:] = sums * 4000 // sums[:, 3:] + np.array([24, 48, 72, 96])
         self.share = share.reshape(-1)
         self.counts = (counts - (counts >> 2)).reshape(-1)
@@ -87,9 +87,13 @@ def _widths(ids: np.ndarray) -> int:
     return 16 if not len(ids) or int(ids.max()) < 1 << 16 else 32
 
 
-def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
-    """One frame with all ids: a table of blocks (ids, words, checksum of the ids), then their words."""
+def encode(ids: np.ndarray, block: int | None = None) -> bytes:
+    """One frame with all ids: a table of blocks (ids, words, checksum of the ids), then their words.
+
+    Blocks of few ids are shorter, so that there are enough of them to advance together.
+    """
     ids = np.ascontiguousarray(ids, np.uint32)
+    block = block or min(BLOCK, max(256, 1 << (len(ids) // 1000).bit_length()))
     wide, blocks = _widths(ids), -(-len(ids) // block)
     sizes = np.minimum(block, len(ids) - np.arange(blocks) * block)
     table = np.zeros((blocks, block), np.int64)
@@ -123,8 +127,8 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
         start = model.share[at]
         l, s = low[:n], span[:n]
         r = s >> _U(12)
-        l += r * start.astype(np.uint64)
-        np.multiply(r, (model.share[at + 1] - start).astype(np.uint64), out=s)
+        l += r * start
+        np.multiply(r, model.share[at + 1] - start, out=s)
         from_recent = np.flatnonzero(kind == 2)
         if len(from_recent):
             k = slots[t - since, from_recent]
@@ -205,14 +209,14 @@ def decode(frame: bytes, only: list[int] | None = None) -> np.ndarray:
         first, second = model.predict(n)
         l, s, c = low[:n], span[:n], code[:n]
         r = s >> _U(12)
-        q = np.minimum((c - l) // r, _U(4095)).astype(np.int32)
+        q = np.minimum((c - l) // r, _U(4095))
         row = model.row * 5
         share = model.share
         kind = (q >= share[row + 1]).astype(np.int64) + (q >= share[row + 2]) + (q >= share[row + 3])
         row += kind
         start = share[row]
-        l += r * start.astype(np.uint64)
-        np.multiply(r, (share[row + 1] - start).astype(np.uint64), out=s)
+        l += r * start
+        np.multiply(r, share[row + 1] - start, out=s)
         now = np.where(kind == 0, first, second).astype(np.int64)
         from_recent = np.flatnonzero(kind == 2)
         if len(from_recent):

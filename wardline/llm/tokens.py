@@ -16,6 +16,7 @@ from wardline.llm.words import WordHasher, mix, slices
 
 #: Distinct words whose ids a worker keeps; beyond that it starts anew.
 REMEMBERED = 1_500_000
+NEAR_BITS = 21
 
 
 def vocabulary(name: str) -> str:
@@ -47,45 +48,52 @@ class WordTokens:
         self.names = np.zeros(0, np.uint64)  # hashes of the words, in order
         self.place = np.zeros(0, np.int64)   # which entry of the ids each has
         self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        # The word last met at each of many places, by the first bits of its hash; common words are found here.
+        self.near, self.entry = np.zeros(1 << NEAR_BITS, np.uint64), np.zeros(1 << NEAR_BITS, np.int32)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        """The ids of words, each with its white space before it where that counts."""
-        out: list[np.ndarray] = []
+    def _encode(self, words: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of words, some hundreds together, and how many each word has; with its white space where that counts."""
+        ids, lengths = [], []
         for a in range(0, len(words), 1000):
             some = words[a : a + 1000]
+            raw = (b"" if self.spaces else b" ").join(some)
             if self.spaces:
-                ids = self.whole("".join(some))
-                starts = np.flatnonzero(self.begins[ids])
+                found = self.whole(raw.decode())
+                starts = np.flatnonzero(self.begins[found])
             else:
-                found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-                ids = np.array(found.ids, np.uint32)
-                ends = np.cumsum([len(w) + 1 for w in some])
-                starts = np.searchsorted(np.array([x for x, _ in found.offsets], np.int64), np.concatenate([[0], ends[:-1]]))
-            if len(starts) == len(some) and (not self.spaces or starts[0] == 0):
-                out += np.split(ids, starts[1:])
+                got = self.tokenizer.encode(raw.decode(), add_special_tokens=False)
+                found = np.array(got.ids, np.uint32)
+                sizes = np.fromiter(map(len, some), np.int64, len(some)) + 1
+                characters = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80)])
+                places = np.fromiter((x for x, _ in got.offsets), np.int64, len(found))
+                starts = np.searchsorted(places, characters[np.cumsum(sizes) - sizes])
+            if len(starts) == len(some) and starts[0] == 0:
+                ids.append(found)
+                lengths.append(np.diff(np.append(starts, len(found))))
             else:  # special tokens among them: one by one
-                out += [self.whole(w) for w in some]
-        return out
-
-    def _learn(self, names: np.ndarray, words: list[str]) -> None:
-        if self.spaces:
-            inner = [k for k, w in enumerate(words) if w[0] in " \n"]
-            found: list = [None] * len(words)
-            for k, x in zip(inner, self._encode([words[k] for k in inner])):
-                found[k] = x
-            found = [self.whole(words[k]) if x is None else x for k, x in enumerate(found)]
-        else:
-            found = self._encode(words)
+                each = [self.whole(w.decode()) for w in some]
+                ids += each
+                lengths.append(np.array([len(x) for x in each], np.int64))
+        return ids, lengths
+
+    def _learn(self, names: np.ndarray, words: list[bytes]) -> None:
+        """Keeps the ids of words under their hashes, which are in order."""
+        first = np.array([self.spaces and w[:1] not in (b" ", b"\n") for w in words], bool)
+        order = np.concatenate([np.flatnonzero(~first), np.flatnonzero(first)])
+        ids, lengths = self._encode([words[k] for k in np.flatnonzero(~first)])
+        alone = [self.whole(words[k].decode()) for k in np.flatnonzero(first)]
+        lengths = np.concatenate([*lengths, np.array([len(x) for x in alone], np.int64)])
         if len(self.names) + len(names) > self.remembered:
             self._forget()
-        self.ids = np.concatenate([self.ids, *found])
-        new = np.arange(len(names)) + len(self.starts) - 1
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in found])])
-        at = np.searchsorted(self.names, names)  # both are in order
-        self.names, self.place = np.insert(self.names, at, names), np.insert(self.place, at, new)
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names)) + len(self.starts) - 1
+        self.ids = np.concatenate([self.ids, *ids, *alone])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        at = np.searchsorted(self.names, names)
+        self.names, self.place = np.insert(self.names, at, names), np.insert(self.place, at, place)
 
     def _plain(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Rows that are the words one after the other; where spaces count, one blank or new line between them."""
@@ -116,21 +124,31 @@ class WordTokens:
                 names = mix(names + before.astype(np.uint64))
             used = plain[words.doc]
             names, doc, start, stop = (x[used] for x in (names, words.doc, words.start, words.stop))
-            unique, first, back = np.unique(names, return_index=True, return_inverse=True)
+            spot = (names >> np.uint64(64 - NEAR_BITS)).astype(np.int64)
+            met = self.near[spot] == names
+            entry = self.entry[spot].astype(np.int64)
+            far = np.flatnonzero(~met)
+            unique, first, back = np.unique(names[far], return_index=True, return_inverse=True)
+            first = far[first]
             at = np.minimum(np.searchsorted(self.names, unique), max(0, len(self.names) - 1))
             missing = np.flatnonzero(self.names[at] != unique) if len(self.names) else np.arange(len(unique))
             if len(missing):
                 if len(self.names) + len(missing) > self.remembered:
                     self._forget()
+                    far = np.arange(len(names))
+                    unique, first, back = np.unique(names, return_index=True, return_inverse=True)
                     missing = np.arange(len(unique))
                 raw = data.tobytes()
-                def word(k):
-                    a = start[first[k]]
-                    a -= self.spaces and a > offsets[doc[first[k]]]
-                    return raw[a : stop[first[k]]].decode()
-                self._learn(unique[missing], [word(k) for k in missing])
+                a, b = start[first[missing]], stop[first[missing]]
+                if self.spaces:
+                    a = a - (a > offsets[doc[first[missing]]])
+                self._learn(unique[missing], [raw[x:y] for x, y in zip(a.tolist(), b.tolist())])
                 at = np.searchsorted(self.names, unique)
-            entry = self.place[at][back]
+            if len(far):
+                found = self.place[at]
+                entry[far] = found[back]
+                spot = (unique >> np.uint64(64 - NEAR_BITS)).astype(np.int64)
+                self.near[spot], self.entry[spot] = unique, found
             lengths = (self.starts[1:] - self.starts[:-1])[entry]
             ends = np.cumsum(lengths)
             ids = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[entry] - (ends - lengths), lengths)]
