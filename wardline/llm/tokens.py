@@ -42,6 +42,7 @@ class WordTokens:
             words = self.tokenizer.get_vocab()
             self.begins = np.zeros(max(words.values()) + 1, bool)
             self.begins[[i for t, i in words.items() if t[0] in "ĠĊ"]] = True
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
@@ -98,6 +99,12 @@ class WordTokens:
     def _plain(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Rows that are the words one after the other; where spaces count, one blank or new line between them."""
         rows = np.ones(len(offsets) - 1, bool)
+        raw = data.tobytes()
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                rows[np.searchsorted(offsets, at, "right") - 1] = False
+                at = raw.find(token, at + 1)
         odd = _ODD_LEAD[data]
         if self.spaces:
             blank = (data == 32) | (data == 10)
@@ -117,7 +124,13 @@ class WordTokens:
         """``(first row, ids, offsets of the rows in them)`` for slices of a text column; null is the empty text."""
         for i, j, data, offsets in slices(column, limit):
             plain = self._plain(data, offsets)
-            words = self.hasher.words(data, offsets)
+            cuts = None
+            if not self.spaces and len(data):
+                # Letters, digits and signs are cut apart by these tokenizers; beyond ASCII, and at an
+                # apostrophe, the words are left to them.
+                kind = _KIND[data]
+                cuts = (kind[:-1] != kind[1:]) & (kind[:-1] > 0) & (kind[1:] > 0)
+            words = self.hasher.words(data, offsets, cuts)
             names = words.hash
             if self.spaces:
                 before = np.where(words.start == offsets[words.doc], 0, data[np.maximum(words.start - 1, 0)])
@@ -162,6 +175,8 @@ class WordTokens:
 
 _ODD_LEAD = np.zeros(256, bool)
 _ODD_LEAD[[*range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True  # the last four begin white space beyond ASCII
+_KIND = np.full(256, 3, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123)]], _KIND[48:58], _KIND[128:], _KIND[39] = 1, 2, 0, 0
 _ODD_BLANK = np.zeros(256, bool)
 _ODD_BLANK[[0x09, 0x0B, 0x0C, 0x0D]] = True
 _LOADED: dict[tuple, WordTokens] = {}

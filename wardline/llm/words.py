@@ -61,19 +61,22 @@ class WordHasher:
             self.size = max(n, SLICE_BYTES + 1)
             self.up, self.down = _powers(self.base, self.size), _powers(self.inverse, self.size)
 
-    def bounds(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def bounds(self, data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         inside = ~_SPACE[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
+        if cuts is not None:
+            edge[1:-1] |= cuts
         starts = inside.copy()
         starts[1:] &= ~inside[:-1] | edge[1:-1]
         stops = inside.copy()
         stops[:-1] &= ~inside[1:] | edge[1:-1]
         return np.flatnonzero(starts), np.flatnonzero(stops) + 1
 
-    def words(self, data: np.ndarray, offsets: np.ndarray) -> Words:
-        """``data``: the bytes of the rows one after the other; ``offsets``: where rows begin, and the end."""
-        start, stop = self.bounds(data, offsets)
+    def words(self, data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> Words:
+        """``data``: the bytes of the rows one after the other; ``offsets``: where rows begin, and the end;
+        ``cuts``: whether a word ends between a byte and the next, too."""
+        start, stop = self.bounds(data, offsets, cuts)
         hashes = np.empty(len(start), np.uint64)
         i = 0
         while i < len(start):  # blocks of whole words, so that powers stay short for any text
