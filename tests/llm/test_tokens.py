@@ -41,7 +41,7 @@ def test_coder_round_trips(ids):
 
 def test_blocks_stand_alone_and_damage_is_found():
     ids = np.array([i * i % 97 for i in range(3 * BLOCK)], np.uint32)
-    frame = encode(ids)
+    frame = encode(ids, BLOCK)
     assert decode(frame, [1]).tolist() == ids[BLOCK : 2 * BLOCK].tolist() and len(frame) < 2 * len(ids)
     hurt = bytearray(frame)
     hurt[-20] ^= 1
