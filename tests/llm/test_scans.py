@@ -131,3 +131,12 @@ def test_leak_edges(spark, edge, nothing):
     rng = random.Random(3)
     words = [f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{i}x" for i in range(20)]
     assert leaks(edge.select("doc_id", F.lit(" ".join(words)).alias("text")).limit(2), spark.createDataFrame([(9, " ".join(words))], "item_id int, text string")).count() >= 1
+
+
+@pytest.mark.parametrize("item", ["What is the capital of France", "one two three", "photosynthesis"])
+def test_a_short_item_is_found_inside_a_long_text(spark, item):
+    rows = [(1, f"Some words come first and then it asks: {item}? More words come after it, to the end."), (2, item),
+            (3, "Some words come first and none of the items does, one two and capital of are no item")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    items = spark.createDataFrame([(7, item), (8, ITEM)], "item_id int, text string")
+    assert sorted((r.doc_id, r.item_id) for r in leaks(docs, items).collect()) == [(1, 7), (2, 7)]

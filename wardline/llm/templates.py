@@ -7,6 +7,8 @@ of each matched pair must be consistent: equal values of the item stand for equa
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,8 @@ from wardline.llm.tables import small
 from wardline.session import staged
 
 WINDOW = 8
-#: Template words of an item that a text must hold in windows; short items need all but one of theirs.
+#: Template words of an item that a text must hold in windows; shorter items need all but one of theirs, and
+#: one of at most WINDOW words, which is a single window, all.
 ENOUGH = 13
 #: Literal words a window needs; one of placeholders only says nothing.
 LITERALS = 5
@@ -62,6 +65,15 @@ def windows(words: Column, size: int = WINDOW) -> Column:
         F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, size)))))
 
 
+def windows_of_sizes(words: Column, sizes: list[int]) -> Column:
+    """``(at, n, window)`` of the runs of each of ``sizes`` words; a text of fewer words has none of that size."""
+    def runs(w, n):
+        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: F.struct(
+            (i - 1).alias("at"), F.lit(n).alias("n"), F.xxhash64(F.slice(w, i, n)).alias("window")))).otherwise(
+                F.expr("cast(array() as array<struct<at:int,n:int,window:bigint>>)"))
+    return bound(words, lambda w: F.concat(*[runs(w, n) for n in sizes]))
+
+
 def literal_count(words: Column) -> Column:
     return F.size(F.filter(words, lambda w: w >= "\u0004"))
 
@@ -73,7 +85,7 @@ def _run(words: Column, at: Column, n: int) -> list[Column]:
 def _may_hold(spots: DataFrame, text: Column) -> Column:
     """Whether a text has the chosen words of any window, side by side.
 
-    Chosen are three words of letters, or two where a window has no three, whose shortest is the longest,
+    Chosen are three words of letters, or two or one where a window has no more, whose shortest is the longest,
     as they are rare elsewhere. Where they are too many for a plan, or a window has none, every text may
     hold an item.
     """
@@ -85,14 +97,15 @@ def _may_hold(spots: DataFrame, text: Column) -> Column:
                         lambda r: r["last"].isNotNull() & r["words"].rlike(r"^[\p{L}\p{M} ]+$"))
         return F.array_max(runs)["words"]
 
-    chosen = (spots.select(F.coalesce(best(3), best(2)).alias("words")).distinct().limit(PLAN_WORDS + 1).collect())
+    chosen = (spots.select(F.coalesce(best(3), best(2), best(1)).alias("words")).distinct().limit(PLAN_WORDS + 1).collect())
     if len(chosen) > PLAN_WORDS or any(r["words"] is None for r in chosen):
         return F.lit(True)
     runs = sorted(r["words"] for r in chosen)
+    lengths = sorted({r.count(" ") + 1 for r in runs}) or [1]
     firsts = sorted({r.split(" ")[0] for r in runs})
     return bound(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}]+"), lambda w: F.exists(
-        F.sequence(F.lit(1), F.greatest(F.size(w) - 1, F.lit(1))),
-        lambda i: F.element_at(w, i).isin(firsts) & (F.concat_ws(" ", *_run(w, i, 3)).isin(runs) | F.concat_ws(" ", *_run(w, i, 2)).isin(runs))))
+        F.sequence(F.lit(1), F.size(w)), lambda i: F.element_at(w, i).isin(firsts) & reduce(
+            Column.__or__, [F.concat_ws(" ", *_run(w, i, n)).isin(runs) for n in lengths])))
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
@@ -100,14 +113,14 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     """``(key, item_key, n_words, n_changed)`` of every text that holds a benchmark item.
 
     A text holds an item when, along one alignment of the two, matched windows cover ``enough`` of the
-    item's template words (in a short item all but one), and the slots under those windows are
-    consistent: one value of the item is always one value of the text. ``n_changed`` counts slots whose
+    item's template words (in an item of no more words than that all but one; one of at most ``size`` words
+    must stand there whole, anywhere in the text), and the slots under those windows are consistent: one value of the item is always one value of the text. ``n_changed`` counts slots whose
     value differs. Null and empty texts and items match nothing; repeated rows of a key count as one
     text each and give one row together; a null key is kept as null. Other columns are not read.
 
-    Every window has two literal words side by side, mostly three, so texts without the words chosen of any
-    window are left out at once. The others' windows are hashed and joined; the few texts with matches are read again for
-    the words under them.
+    Nearly every window has literal words side by side, so texts without the words chosen of any window are left
+    out at once. The others' windows, of ``size`` words and of each shorter item's length, are hashed and joined;
+    the few texts with matches are read again for the words under them.
     """
     own = F.posexplode(windows(words_of(template(F.col("marked"))), size)).alias("at", "window")
     wanted = items.select(F.col(item_key).alias("item"), marked_text(F.col(item_text)).alias("marked"))
@@ -117,10 +130,11 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
              .where(literal_count(F.col("theirs")) >= F.least(F.lit(LITERALS), F.size("theirs"))))
     spots = staged(spots, "spots")
     index = small(spots.select("window").distinct())
+    sizes = sorted(r["n"] for r in spots.select(F.size("theirs").alias("n")).distinct().collect()) or [size]
     # A text goes by its key and a hash, as keys may repeat or be null.
     texts = docs.where(_may_hold(spots, F.col(text))).select(F.col(key).alias("doc"), F.xxhash64(text).alias("copy"), F.col(text).alias("text"))
-    hits = (texts.select("doc", "copy", F.posexplode(windows(words_of(template(marked_text(F.col("text")))), size)).alias("at", "window"))
-            .join(index, "window").groupBy("doc", "copy").agg(F.collect_set(F.struct("at", "window")).alias("hits")))
+    hits = (texts.select("doc", "copy", F.inline(windows_of_sizes(words_of(template(marked_text(F.col("text")))), sizes)))
+            .join(index, "window").groupBy("doc", "copy").agg(F.collect_set(F.struct("at", "n", "window")).alias("hits")))
     hits = staged(hits.withColumn("doc_or", F.coalesce(F.col("doc").cast("string"), F.lit(""))), "hits")
     met = small(hits.select("doc_or", "copy").distinct())
     again = (texts.withColumn("doc_or", F.coalesce(F.col("doc").cast("string"), F.lit(""))).join(met, ["doc_or", "copy"], "left_semi")
@@ -128,7 +142,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
              .select("doc_or", "copy", words_of(marked_text(F.col("text"))).alias("words")))
     found = (hits.join(again, ["doc_or", "copy"])
              .select("doc", "copy", F.explode(F.transform("hits", lambda h: F.struct(h["at"].alias("at"), h["window"].alias("window"),
-                     F.slice("words", h["at"] + 1, size).alias("ours")))).alias("h")).select("doc", "copy", "h.*"))
+                     F.slice("words", h["at"] + 1, h["n"]).alias("ours")))).alias("h")).select("doc", "copy", "h.*"))
     pairs = found.join(small(spots, 100_000), "window").where(F.size("ours") == F.size("theirs"))
     aligned = pairs.groupBy("doc", "copy", "item", "item_size", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.array_distinct(F.flatten(F.collect_list(F.transform(
