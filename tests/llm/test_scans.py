@@ -140,3 +140,16 @@ def test_a_short_item_is_found_inside_a_long_text(spark, item):
     docs = spark.createDataFrame(rows, "doc_id int, text string")
     items = spark.createDataFrame([(7, item), (8, ITEM)], "item_id int, text string")
     assert sorted((r.doc_id, r.item_id) for r in leaks(docs, items).collect()) == [(1, 7), (2, 7)]
+
+
+@pytest.mark.parametrize("item, others", [
+    ("Tom ran 5 km in 20 minutes and 8 km in 35 minutes", {"Tom ran 6 km in 21 minutes and 9 km in 36 minutes": 4, "Tom ran 6 km in 21 minutes and he was tired of it": None}),
+    ("What is 345 times 27", {"What is 12 times 9": 2, "What is 345 and 27": None}),
+    ("345 + 27", {"345 + 28": None}), ("Sum 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15", {"Sum 1 2 3 4 5 6 7 and 9 10 11 12 13 14 15": None})])
+def test_items_of_few_literal_words_are_leaks(spark, item, others):
+    frame = "some words come first, then: {}. and then come more words"
+    rows = [(item, 0), *others.items()]
+    docs = spark.createDataFrame([(i, frame.format(t)) for i, (t, _) in enumerate(rows)], "doc_id int, text string")
+    items = spark.createDataFrame([(7, item)], "item_id int, text string")
+    got = {r.doc_id: r.n_changed for r in leaks(docs, items).collect()}
+    assert got == {i: n for i, (_, n) in enumerate(rows) if n is not None}

@@ -19,9 +19,6 @@ WINDOW = 8
 #: Template words of an item that a text must hold in windows; shorter items need all but one of theirs, and
 #: one of at most WINDOW words, which is a single window, all.
 ENOUGH = 13
-#: Literal words a window needs; one of placeholders only says nothing.
-LITERALS = 5
-
 #: Runs of words that are written into the plan of the first filter at most.
 PLAN_WORDS = 20_000
 
@@ -29,6 +26,7 @@ PLAN_WORDS = 20_000
 UNITS = ("km|m|cm|mm|mi|miles?|feet|foot|ft|inch|inches|kg|g|mg|lb|lbs|pounds?|tons?|l|ml|litres?|liters?|"
          "s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|percent|dollars?|euros?|cents?|usd|eur|kmh|mph|°c|°f")
 
+NO_RUNS = "cast(array() as array<struct<at:int,n:int,window:bigint>>)"
 _NUMBER, _NAME, _UNIT = "\u0001", "\u0002", "\u0003"  # mark the words that fill slots
 
 
@@ -59,23 +57,35 @@ def bound(value: Column, then) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
-def windows(words: Column, size: int = WINDOW) -> Column:
-    """Hashes of the runs of ``size`` words in order of place; a text of fewer words is one run, none has none."""
-    return bound(words, lambda w: F.when(F.size(w) == 0, F.expr("cast(array() as array<bigint>)")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, size)))))
+def _hashed(template_words: Column, marked: Column, at: Column, size, by_value: bool = True) -> Column:
+    """The hash of a window's template words, or of its words with their values where all are slots."""
+    plain = F.slice(template_words, at, size)
+    if not by_value:
+        return F.xxhash64(plain)
+    return F.when(F.exists(plain, lambda x: x >= "\u0004"), F.xxhash64(plain)).otherwise(F.xxhash64(F.slice(marked, at, size), F.lit(1)))
 
 
-def windows_of_sizes(words: Column, sizes: list[int]) -> Column:
-    """``(at, n, window)`` of the runs of each of ``sizes`` words; a text of fewer words has none of that size."""
-    def runs(w, n):
-        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: F.struct(
-            (i - 1).alias("at"), F.lit(n).alias("n"), F.xxhash64(F.slice(w, i, n)).alias("window")))).otherwise(
-                F.expr("cast(array() as array<struct<at:int,n:int,window:bigint>>)"))
-    return bound(words, lambda w: F.concat(*[runs(w, n) for n in sizes]))
+def windows(marked: Column, size: int = WINDOW) -> Column:
+    """``(at, n, window)`` of an item's runs of ``size`` words; an item of fewer words is one run, none has none."""
+    def runs(t, w):
+        n = F.least(F.size(w), F.lit(size))
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1))), lambda i: F.struct(
+            (i - 1).alias("at"), n.alias("n"), _hashed(t, w, i, size).alias("window")))
+    return F.when(marked == "", F.expr(NO_RUNS)).otherwise(
+        bound(words_of(template(marked)), lambda t: bound(words_of(marked), lambda w: runs(t, w))))
 
 
-def literal_count(words: Column) -> Column:
-    return F.size(F.filter(words, lambda w: w >= "\u0004"))
+def windows_of_sizes(marked: Column, sizes: list[int], by_value: bool) -> Column:
+    """``(at, n, window)`` of a text's runs of each of ``sizes`` words; a text of fewer words has none of that size.
+    ``by_value``: whether runs of slots only are hashed with their values, else by their template as all."""
+    def runs(t, w, n):
+        return F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - n + 1, F.lit(1))), lambda i: F.struct(
+            (i - 1).alias("at"), F.lit(n).alias("n"), _hashed(t, w, i, n, by_value).alias("window")))).otherwise(F.expr(NO_RUNS))
+    def of(t, w):
+        return F.concat(*[runs(t, w, n) for n in sizes])
+    if not by_value:
+        return bound(words_of(template(marked)), lambda t: of(t, None))
+    return bound(words_of(template(marked)), lambda t: bound(words_of(marked), lambda w: of(t, w)))
 
 
 def _run(words: Column, at: Column, n: int) -> list[Column]:
@@ -114,7 +124,8 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
     A text holds an item when, along one alignment of the two, matched windows cover ``enough`` of the
     item's template words (in an item of no more words than that all but one; one of at most ``size`` words
-    must stand there whole, anywhere in the text), and the slots under those windows are consistent: one value of the item is always one value of the text. ``n_changed`` counts slots whose
+    must stand there whole, anywhere in the text), and the slots under those windows are consistent: one value of the item is always one value of the text. A window is matched by its template if it has
+    a literal word, and by its values if it is slots only, as any row of numbers has that template. ``n_changed`` counts slots whose
     value differs. Null and empty texts and items match nothing; repeated rows of a key count as one
     text each and give one row together; a null key is kept as null. Other columns are not read.
 
@@ -122,18 +133,17 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     out at once. The others' windows, of ``size`` words and of each shorter item's length, are hashed and joined;
     the few texts with matches are read again for the words under them.
     """
-    own = F.posexplode(windows(words_of(template(F.col("marked"))), size)).alias("at", "window")
     wanted = items.select(F.col(item_key).alias("item"), marked_text(F.col(item_text)).alias("marked"))
-    spots = (wanted.select("item", words_of(F.col("marked")).alias("item_words"), own)
-             .select("item", F.col("at").alias("item_at"), "window", F.slice("item_words", F.col("at") + 1, size).alias("theirs"),
-                     F.size("item_words").alias("item_size"))
-             .where(literal_count(F.col("theirs")) >= F.least(F.lit(LITERALS), F.size("theirs"))))
+    spots = (wanted.select("item", words_of(F.col("marked")).alias("item_words"), F.inline(windows(F.col("marked"), size)))
+             .select("item", F.col("at").alias("item_at"), "n", "window", F.slice("item_words", F.col("at") + 1, size).alias("theirs"),
+                     F.size("item_words").alias("item_size")))
     spots = staged(spots, "spots")
     index = small(spots.select("window").distinct())
-    sizes = sorted(r["n"] for r in spots.select(F.size("theirs").alias("n")).distinct().collect()) or [size]
+    kinds = spots.select("n", F.forall("theirs", lambda x: x < "\u0004").alias("slots_only")).distinct().collect()
+    sizes, by_value = sorted({r["n"] for r in kinds}) or [size], any(r["slots_only"] for r in kinds)
     # A text goes by its key and a hash, as keys may repeat or be null.
     texts = docs.where(_may_hold(spots, F.col(text))).select(F.col(key).alias("doc"), F.xxhash64(text).alias("copy"), F.col(text).alias("text"))
-    hits = (texts.select("doc", "copy", F.inline(windows_of_sizes(words_of(template(marked_text(F.col("text")))), sizes)))
+    hits = (texts.select("doc", "copy", F.inline(windows_of_sizes(marked_text(F.col("text")), sizes, by_value)))
             .join(index, "window").groupBy("doc", "copy").agg(F.collect_set(F.struct("at", "n", "window")).alias("hits")))
     hits = staged(hits.withColumn("doc_or", F.coalesce(F.col("doc").cast("string"), F.lit(""))), "hits")
     met = small(hits.select("doc_or", "copy").distinct())
@@ -143,7 +153,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     found = (hits.join(again, ["doc_or", "copy"])
              .select("doc", "copy", F.explode(F.transform("hits", lambda h: F.struct(h["at"].alias("at"), h["window"].alias("window"),
                      F.slice("words", h["at"] + 1, h["n"]).alias("ours")))).alias("h")).select("doc", "copy", "h.*"))
-    pairs = found.join(small(spots, 100_000), "window").where(F.size("ours") == F.size("theirs"))
+    pairs = found.join(small(spots.drop("n"), 100_000), "window").where(F.size("ours") == F.size("theirs"))
     aligned = pairs.groupBy("doc", "copy", "item", "item_size", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.array_distinct(F.flatten(F.collect_list(F.transform(
             F.sequence(F.lit(0), F.size("ours") - 1),
