@@ -21,9 +21,12 @@ from wardline.session import staged
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject; it learns from the labelled ones."""
+    """Documents that the quality classifier does not reject; it learns from the labelled ones.
+    Where it learned nothing, for want of labels of both classes, all stay."""
     labels = table(spark, sf_dir, "labels").where(~(remainder(F.col("doc_id"), 4) == 2))
     model = fit_quality(docs, labels)
+    if not model.weights.any():
+        return docs
     return docs.where(quality_score(F.col("text"), model) >= THRESHOLD).select(docs.columns)
 
 

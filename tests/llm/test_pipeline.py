@@ -68,3 +68,10 @@ def test_rows_that_repeat_id_and_text_stay_once(spark, folder):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     kept = corpus_pipeline.distinct_texts(spark, docs, folder).collect()
     assert sorted((r.doc_id or 0) for r in kept) == [0, 0, 1, 3]
+
+
+@pytest.mark.parametrize("rule", ["false", "quality = 1"])
+def test_quality_keeps_all_where_nothing_was_learned(spark, folder, monkeypatch, rule):
+    docs, read = documents(spark, folder), corpus_pipeline.table
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: read(*a).where(rule))
+    assert corpus_pipeline.good_quality(spark, docs, folder).count() == docs.count()
