@@ -32,25 +32,29 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one of the largest id. Rows without an id stay; of rows that repeat id and text
-    one stays."""
+    one stays. Other texts of an id whose one text goes stay."""
     groups = staged(exact_groups(docs).where(~F.col("kept")), "gone")
-    kept = _without(docs, groups.where("doc_id != keep_id").select("doc_id"))
+    same = F.sha2(fold_ascii(F.coalesce("text", F.lit(""))), 256)
+    gone = groups.where("doc_id != keep_id").select("doc_id", F.col("text_sha256").alias("_same"))
+    kept = docs.withColumn("_same", same).join(gone, ["doc_id", "_same"], "left_anti")
     twice = small(groups.where("doc_id = keep_id").select("doc_id").distinct())
-    again = kept.join(twice, "doc_id", "left_semi").withColumn(
-        "_same", F.sha2(fold_ascii(F.coalesce("text", F.lit(""))), 256)).dropDuplicates(["doc_id", "_same"])
+    again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "_same"])
     return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(again.select(docs.columns))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by the shingle join the one of the smallest id; unlinked ones stay."""
+    """Of documents linked by the shingle join the one of the smallest id; unlinked ones stay.
+    Texts that repeat an id are one document and go together, also where only one of them is linked; rows
+    without an id stay, also where they are near copies."""
     gone = near_groups(docs, size=5, percent=80).where("component_id != doc_id").select("doc_id")
     return _without(docs, gone)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    gone = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return _without(docs, gone)
+    """Documents that hold no benchmark item. A row goes by its text, so repeated and missing ids make no difference."""
+    texts = docs.withColumn("_text", F.sha2(F.coalesce("text", F.lit("")), 256))
+    gone = leaks(texts, table(spark, sf_dir, "benchmark"), key="_text").select("_text").distinct()
+    return texts.join(gone, "_text", "left_anti").select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,3 +75,19 @@ def test_quality_keeps_all_where_nothing_was_learned(spark, folder, monkeypatch,
     docs, read = documents(spark, folder), corpus_pipeline.table
     monkeypatch.setattr(corpus_pipeline, "table", lambda *a: read(*a).where(rule))
     assert corpus_pipeline.good_quality(spark, docs, folder).count() == docs.count()
+
+
+def test_other_texts_of_an_id_and_rows_without_one(spark, folder):
+    item = table(spark, folder, "benchmark").orderBy("item_id").first().text
+    copy, clean = " ".join(f"w{i}" for i in range(200)), " ".join(f"v{i}" for i in range(200))
+
+    def kept(stage, rows):
+        out = stage(spark, spark.createDataFrame(rows, "doc_id bigint, text string, source string"), folder)
+        return sorted((r.doc_id or 0, r.text[:2]) for r in out.collect())
+
+    assert kept(corpus_pipeline.without_benchmark, [(1, item, "a"), (1, clean, "a"), (None, item, "a"), (None, copy, "a"), (2, copy, "b")]) == [
+        (0, "w0"), (1, "v0"), (2, "w0")]
+    assert kept(corpus_pipeline.distinct_texts, [(1, copy, "a"), (1, clean, "a"), (2, copy, "a"), (None, copy, "a")]) == [
+        (0, "w0"), (1, "v0"), (2, "w0")]
+    # As stated by the stage: an id's texts go together, rows without an id stay.
+    assert kept(corpus_pipeline.one_of_each_group, [(1, copy, "a"), (2, copy + " x", "a"), (2, clean, "a"), (None, copy, "a")]) == [(0, "w0"), (1, "w0")]
