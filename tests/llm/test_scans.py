@@ -153,3 +153,10 @@ def test_items_of_few_literal_words_are_leaks(spark, item, others):
     items = spark.createDataFrame([(7, item)], "item_id int, text string")
     got = {r.doc_id: r.n_changed for r in leaks(docs, items).collect()}
     assert got == {i: n for i, (_, n) in enumerate(rows) if n is not None}
+
+
+def test_a_key_that_begins_at_the_end_of_the_reach_is_weighed():
+    scan, key = Scanner(), "q9Zt7Lx2Vb8Rm4Kp1Ws6"
+    for gap in (60, 70, 79, 80):
+        text = "bearer" + " " * gap + key
+        assert [x[1:3] for x in scan.spans(text)] == ([(6 + gap, 6 + gap + len(key))] if gap < 80 else [])

@@ -2,7 +2,8 @@
 
 A candidate in a sensitive context is weighed by the bytes it adds to its own surroundings in a
 zstandard frame primed with common identifiers: text and identifiers repeat what the dictionary or
-the context holds and cost little; a key costs nearly its whole length.
+the context holds and cost little; a key costs nearly its whole length. Runs without a digit or without
+a letter are not weighed.
 """
 
 from __future__ import annotations
@@ -73,9 +74,11 @@ class Scanner:
             return []
         out, done, busy, k = [], 0, sorted(x[1:3] for x in taken), 0
         for word in self.sensitive.finditer(text):
-            for m in self.candidate.finditer(text, max(word.end(), done), min(word.end() + self.reach, len(text))):
+            # A candidate begins within the reach; its shortest length may stand out of it.
+            last = min(word.end() + self.reach + self.least - 1, len(text))
+            for m in self.candidate.finditer(text, max(word.end(), done), last):
                 start, end = m.span()
-                if end == word.end() + self.reach and (more := self.candidate.match(text, start)):
+                if end == last and (more := self.candidate.match(text, start)):
                     end = more.end()  # the run goes on beyond the context
                 if start < done:
                     continue
