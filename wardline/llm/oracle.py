@@ -73,4 +73,54 @@ SELECT w.doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed, sha256(coal
 FROM w LEFT JOIN lists ON w.doc_id = lists.doc_id LEFT JOIN kept ON w.doc_id = kept.doc_id
 """
 
-SQL = {"op2_url_filter": OP2, "op4_ngram_jaccard": OP4, "op6_exact_dedup": OP6, "op9_substring_dedup": OP9}
+# crc32 over bytes: a table of 256 remainders, then one step a byte.
+OP11 = f"""
+WITH RECURSIVE remainders AS (SELECT b, b AS c, 0 AS k FROM range(256) r(b) UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM remainders WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS steps FROM remainders WHERE k = 8),
+texts AS (
+  SELECT 'd' AS side, doc_id, {_FOLD.format("coalesce(text, '')")} AS text FROM documents UNION ALL
+  SELECT 'b', NULL, {_FOLD.format("coalesce(text, '')")} FROM benchmark),
+words AS (SELECT side, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+runs AS (
+  SELECT side, doc_id, unnest(w) AS f FROM words UNION ALL
+  SELECT side, doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words),
+each AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM runs)),
+hashed AS (
+  SELECT f, xor(4294967295, list_reduce(list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295)) % 10000 AS bucket FROM each, crc),
+counts AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM runs JOIN hashed USING (f) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * ((SELECT sum(s) FROM counts) + 10000))::DOUBLE / ((s + 1) * ((SELECT sum(t) FROM counts) + 10000))::DOUBLE))::BIGINT AS gain FROM counts),
+sums AS (SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS total FROM runs JOIN hashed USING (f) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id),
+scored AS (
+  SELECT w.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, CASE WHEN n IS NULL THEN 0 ELSE (total - ((total % n) + n) % n) // n END AS weight,
+    ('0x' || substr(sha256('7:' || w.doc_id::VARCHAR), 1, 8))::BIGINT AS h
+  FROM words w LEFT JOIN sums USING (doc_id) WHERE side = 'd'),
+noisy AS (SELECT doc_id, n_words, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM scored),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 25 * count(*) OVER () // 100 AS drawn FROM noisy WHERE n_words >= 20)
+SELECT n.doc_id, n_features, weight, score, rank FROM noisy n LEFT JOIN (SELECT doc_id, rank FROM ranked WHERE rank <= drawn) USING (doc_id)
+"""
+
+OP13 = """
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || doc_id::VARCHAR) AS x FROM documents),
+numbers AS (
+  SELECT doc_id, text, u, len(u) AS n, ('0x' || substr(x, 1, 8))::BIGINT AS h1, ('0x' || substr(x, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(x, 17, 8))::BIGINT AS h3, ('0x' || substr(x, 25, 8))::BIGINT AS h4 FROM units),
+cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+parts AS (
+  SELECT doc_id, n, form, text, coalesce(array_to_string(u[1:i], ''), '') AS prefix, coalesce(array_to_string(u[i + 1:j], ''), '') AS middle,
+         coalesce(array_to_string(u[j + 1:n], ''), '') AS suffix FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form != 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form != 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+SQL = {"op11_importance_resampling": OP11, "op13_fill_in_middle": OP13, "op2_url_filter": OP2, "op4_ngram_jaccard": OP4, "op6_exact_dedup": OP6, "op9_substring_dedup": OP9}

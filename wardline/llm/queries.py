@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm.chunks import exact_groups
+from wardline.llm.fim import fim_digests
 from wardline.llm.packing import pack
 from wardline.llm.parity import near_groups
 from wardline.llm.quality import fit_quality, quality_score
+from wardline.llm.resample import importance
 from wardline.llm.secrets import joined, scan_secrets
+from wardline.llm.simhash import near_prints
 from wardline.llm.spans import without_repeats
 from wardline.llm.tables import documents, remainder, table
 from wardline.llm.templates import leaks
@@ -81,6 +84,20 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_prints(documents(spark, sf_dir), size=4, distance=4)
+    return rows.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_url_filter, op3_toxicity, op4_ngram_jaccard, op5_token_files, op6_exact_dedup,
-    op7_best_fit_packing, op8_quality, op9_substring_dedup, op10_benchmark_decontamination)}
+    op7_best_fit_packing, op8_quality, op9_substring_dedup, op10_benchmark_decontamination,
+    op11_importance_resampling, op12_simhash, op13_fill_in_middle)}

@@ -6,6 +6,7 @@ over random byte values modulo 2**64, taken from prefix sums, so no Python code
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -120,5 +121,17 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         i = j
 
 
+def cut(text: bytes, gap: re.Pattern, limit: int = SLICE_BYTES) -> Iterator[bytes]:
+    """The text in pieces of about ``limit`` bytes, each ending behind a match of ``gap``."""
+    at = 0
+    while len(text) - at > limit:
+        found = gap.search(text, at + limit - 1)
+        if not found:
+            break
+        yield text[at : found.end()]
+        at = found.end()
+    yield text[at:] if at else text
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
