@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from wardline.functions.codes import order_hash
 from wardline.operators.profile import sample_rows
 from wardline.operators.quantiles import column_quantiles
+from wardline.operators.trees import Trees, mean_by_interval, tree_table
 from wardline.session import cut_lineage
 
 # Sizes of the importance jobs.
@@ -113,15 +115,33 @@ def partial_dependence(
 ) -> DataFrame:
     """(feature, grid_value, average): mean probability with one column set to each value.
 
-    Every row meets a fixed number of grid values, in place: no join is involved, and
-    the means are combined before the shuffle.
+    For an ensemble of trees, as a fitted model or a table, every row goes through each tree once with the column
+    left open, and the averages at all values follow from sums over the intervals between its
+    thresholds. Other models score a copy of each row for every value. No rows give no averages.
     """
     grid = dependence_grid(rows, columns, points)
+    try:
+        trees = model if isinstance(model, Trees) else tree_table(model)
+    except ValueError:
+        return dependence_by_copies(model, rows, features, grid)
+    places = {c: i for i, c in enumerate(features)}
+    inputs = rows.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    means = mean_by_interval(inputs, trees, [places[c] for c in columns], "x")
+    found = [(c, v, float(average))
+             for c in columns if means
+             for cuts, averages in [means[places[c]]]
+             for v, average in zip(grid[c], averages[np.searchsorted(cuts, grid[c])])]
+    return rows.sparkSession.createDataFrame(found, "feature string, grid_value double, average double")
+
+
+def dependence_by_copies(model, rows: DataFrame, features: Sequence[str], grid: Mapping[str, Sequence[float]]) -> DataFrame:
+    """The same for any model and ``grid``: every row meets a fixed number of values, in place, and the means are
+    combined before the shuffle."""
     places = {c: i for i, c in enumerate(features)}
     spots = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.lit(places[c]).alias("at"),
                  F.lit(float(v)).alias("grid_value"))
-        for c in columns for v in grid[c]])
+        for c in grid for v in grid[c]])
     copied = rows.select(
         F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
         F.explode(spots).alias("_s")).select(
@@ -131,4 +151,3 @@ def partial_dependence(
     scored = model.transform(copied)
     return scored.groupBy("feature", "grid_value").agg(
         F.avg(vector_to_array("probability")[1]).alias("average"))
-

@@ -8,11 +8,7 @@ from typing import NamedTuple
 from py4j.protocol import Py4JJavaError
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.errors import AnalysisException
@@ -20,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from wardline.operators.logistic import LogisticFit, load_fit, newton, save_fit
+
 # Hyper-parameters of the classifiers.
 LOGISTIC = {"c": 1.0, "max_iter": 1000, "tolerance": 1e-4}
 FOREST = {"trees": 200, "depth": 10, "leaf_rows": 2}
@@ -50,12 +48,11 @@ def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "label",
                  c: float = LOGISTIC["c"], max_iter: int = LOGISTIC["max_iter"],
-                 tolerance: float = LOGISTIC["tolerance"]):
+                 tolerance: float = LOGISTIC["tolerance"]) -> LogisticFit:
     """L2 logistic regression; ``c`` is the inverse penalty on the summed loss."""
-    ready = assemble(train, features).select("features", label)
-    return LogisticRegression(
-        labelCol=label, regParam=1.0 / (c * ready.count()), maxIter=max_iter,
-        tol=tolerance, standardization=False).fit(ready)
+    rows = assemble(train, features).select(
+        vector_to_array("features").alias("x"), F.col(label).cast("double").alias("y"))
+    return newton(rows, len(features), c, tolerance, max_iter)
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str = "label",
@@ -147,8 +144,14 @@ def probability(scorer: Scorer, inputs: DataFrame) -> DataFrame:
 
 
 def save(model, path: str) -> None:
-    PipelineModel([model]).write().save(path)
+    if isinstance(model, LogisticFit):
+        save_fit(model, path)
+    else:
+        PipelineModel([model]).write().save(path)
 
 
 def load(path: str):
-    return PipelineModel.load(path).stages[0]
+    try:
+        return load_fit(path)
+    except AnalysisException:  # no such part: a stored Spark model
+        return PipelineModel.load(path).stages[0]
