@@ -38,11 +38,15 @@ def points(noise: bool) -> str:
 
 
 def tenth(name: str, noise: bool) -> str:
+    return tenth_of(name, points(noise), "inp")
+
+
+def tenth_of(name: str, value: str, source: str) -> str:
     """Score rounded by exact value: the nearest of the two neighbouring tenths."""
     return f"""{name} AS MATERIALIZED (SELECT * EXCLUDE (x, s, e), CASE
   WHEN s - floor(s) < 0.5 OR (s - floor(s) = 0.5 AND (e < 0 OR (e = 0 AND floor(s) % 2 = 0))) THEN floor(s) ELSE floor(s) + 1 END / 10.0::DOUBLE AS risk_score
 FROM (SELECT *, (x * 8 - (s - (s - x * 8))) + (x * 2 - (s - x * 8)) AS e FROM (SELECT *, x * 8 + x * 2 AS s FROM
- (SELECT *, greatest(5.2::DOUBLE, least(98.7::DOUBLE, {points(noise)})) AS x FROM inp) a) b) c)"""
+ (SELECT *, greatest(5.2::DOUBLE, least(98.7::DOUBLE, {value})) AS x FROM {source}) a) b) c)"""
 
 
 SCO = tenth("sco", True)

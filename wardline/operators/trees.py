@@ -72,7 +72,7 @@ def tree_table(model) -> Trees:
         F.when(leaf, 0.0).otherwise(F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
         F.when(leaf, F.col("id")).otherwise(F.col("leftChild")).alias("left"),
         F.when(leaf, F.col("id")).otherwise(F.col("rightChild")).alias("right"), value.alias("value"))
-    return Trees(nodes, BOOSTING if boosted else FOREST, len(model.treeWeights), max(t.depth for t in model.trees))
+    return Trees(nodes, BOOSTING if boosted else FOREST, len(model.treeWeights), model.getMaxDepth())
 
 
 def probability(trees: Trees, total):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardline.operators import balance, evaluate, explain, model, neighbours, score
+from wardline.operators import balance, evaluate, explain, model, neighbours, score, trees
 from wardline.plans import stages
 from wardline.plans.catalogue.cleaning import rounded
 from wardline.plans.catalogue.scoring import scoring_inputs
@@ -17,6 +17,17 @@ from wardline.sources.layout import KEY
 WHOLE = ["time_in_hospital", "num_lab_procedures", "num_medications", "number_inpatient",
          "number_diagnoses", "age_midpoint"]
 
+# A small forest over them: tree, node, feature, threshold, left, right, share of class 1.
+TREES = [
+    (0, 0, 3, 0.5, 1, 2, 0.0), (0, 1, 0, 4.0, 3, 4, 0.0), (0, 2, 4, 7.0, 5, 6, 0.0), (0, 3, -1, 0.0, 3, 3, 0.125),
+    (0, 4, 1, 60.0, 7, 8, 0.0), (0, 5, -1, 0.0, 5, 5, 0.375), (0, 6, -1, 0.0, 6, 6, 0.75), (0, 7, -1, 0.0, 7, 7, 0.25), (0, 8, -1, 0.0, 8, 8, 0.5),
+    (1, 0, 1, 45.5, 1, 2, 0.0), (1, 1, -1, 0.0, 1, 1, 0.125), (1, 2, 1, 75.0, 3, 4, 0.0), (1, 3, 0, 6.0, 5, 6, 0.0),
+    (1, 4, -1, 0.0, 4, 4, 0.625), (1, 5, -1, 0.0, 5, 5, 0.25), (1, 6, -1, 0.0, 6, 6, 0.875),
+    (2, 0, -1, 0.0, 0, 0, 0.25),
+    (3, 0, 2, 15.0, 1, 2, 0.0), (3, 1, 3, 1.0, 3, 4, 0.0), (3, 2, 0, 3.0, 5, 6, 0.0), (3, 3, -1, 0.0, 3, 3, 0.0),
+    (3, 4, -1, 0.0, 4, 4, 0.5), (3, 5, -1, 0.0, 5, 5, 0.375), (3, 6, -1, 0.0, 6, 6, 1.0),
+]
+
 
 def _train(spark, folder):
     return split_rows(spark, folder).where(F.col("split") == "train").select(
@@ -120,6 +131,42 @@ def ml16_partial_dependence(spark, folder):
         models["Random Forest"], _test(spark, folder), features, top)
 
 
+def _plain_test(spark, folder):
+    return split_rows(spark, folder).where(F.col("split") == "test").select(KEY, "label", *WHOLE)
+
+
+def ml05_tree_table_predictions(spark, folder):
+    """The test rows through a forest that is given as a table of nodes."""
+    rows = _plain_test(spark, folder).select(KEY, F.array(*[F.col(c).cast("double") for c in WHOLE]).alias("x"))
+    return trees.score_trees(rows, trees.literal_trees(spark, TREES), KEY)
+
+
+def ml05_fitted_forest_and_its_nodes(spark, folder):
+    """On how many test rows the fitted forest's own predictions and those of its nodes agree."""
+    models, features = fitted(spark, folder)
+    rows = _test(spark, folder)
+    own = model.predict(models["Random Forest"], rows, features, "Random Forest", KEY)
+    table = trees.score_trees(rows.select(KEY, F.array(*[F.col(c).cast("double") for c in features]).alias("x")),
+                              trees.tree_table(models["Random Forest"]), KEY)
+    same = (F.abs(F.col("y_prob") - F.col("probability")) < 1e-9) & (F.col("y_pred") == F.col("prediction"))
+    return own.join(table, KEY, "left").agg(F.count("*").alias("n"), F.count_if(same).alias("n_same"))
+
+
+def ml16_tree_table_dependence(spark, folder):
+    """Average predictions of the same forest over the test rows, by length of stay and by laboratory procedures."""
+    made = explain.partial_dependence(
+        trees.literal_trees(spark, TREES), _plain_test(spark, folder), WHOLE, ["time_in_hospital", "num_lab_procedures"])
+    return made.select("feature", F.round("grid_value", 9).alias("grid_value"), F.round("average", 9).alias("average"))
+
+
+def scr03_tree_table_score(spark, folder):
+    """Scores of all inputs by the forest of the table."""
+    inputs = score.model_inputs(scoring_inputs(spark, folder))
+    vectors = inputs.select(KEY, F.array(*[F.col(c).cast("double") for c in WHOLE]).alias("x"))
+    probable = trees.score_trees(vectors, trees.literal_trees(spark, TREES), KEY).select(KEY, "probability")
+    return score.with_model_score(inputs.select(KEY, "patient_name").join(probable, KEY)).select(KEY, "risk_score")
+
+
 def _scorer(spark, folder):
     models, features = fitted(spark, folder)
     return model.Scorer(models["Random Forest"], dict(scaled_split(spark, folder)[1]), list(features))
@@ -168,6 +215,7 @@ QUERIES = {f.__name__: f for f in (
     jn08_minority_neighbours, jn08_minority_neighbours_many_cells,
     jn08_embedding_neighbours, ml04_fitted_models, ml05_predictions,
     ml12_fitted_comparison, ml14_impurity_importance, top05_strongest_importances,
-    ml15_permutation_importance, ml16_partial_dependence, scr03_model_score,
+    ml15_permutation_importance, ml16_partial_dependence, ml05_tree_table_predictions,
+    ml05_fitted_forest_and_its_nodes, ml16_tree_table_dependence, scr03_model_score, scr03_tree_table_score,
     scr04_fallback_score, scr04_stored_model_score,
 )}
