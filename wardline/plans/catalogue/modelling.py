@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardline.operators import balance, evaluate, explain, model, neighbours, score, trees
+from wardline.operators import balance, evaluate, explain, model, neighbours, score, trees, vector_index
 from wardline.plans import stages
 from wardline.plans.catalogue.cleaning import rounded
 from wardline.plans.catalogue.scoring import scoring_inputs
@@ -70,6 +70,24 @@ def jn08_embedding_neighbours(spark, folder):
     return rounded(neighbours.nearest_neighbours(rows, "vec_id", "x", 5, cell_rows=100))
 
 
+def _embeddings(spark, folder):
+    return table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+
+
+def jn08_indexed_neighbours(spark, folder):
+    """Neighbours of all embeddings among the rows of the lists that the index looks into."""
+    return rounded(vector_index.indexed_neighbours(_embeddings(spark, folder), "vec_id", "x", 5))
+
+
+def jn08_index_recall(spark, folder):
+    """How many true neighbours there are, and whether the index finds nine in ten of them."""
+    rows = _embeddings(spark, folder)
+    found = vector_index.indexed_neighbours(rows, "vec_id", "x", 5)
+    exact = neighbours.nearest_neighbours(rows, "vec_id", "x", 5)
+    return vector_index.recall_of(found, exact, "vec_id").select(
+        "n", (F.col("n_found") >= 0.9 * F.col("n")).alias("enough"))
+
+
 def fitted(spark, folder):
     """Models on the scaled training rows: (models, feature names)."""
     def build():
@@ -213,7 +231,7 @@ def _stored(spark, folder):
 QUERIES = {f.__name__: f for f in (
     ml03_synthetic_minority, set03_balanced_rows, agg18_class_change,
     jn08_minority_neighbours, jn08_minority_neighbours_many_cells,
-    jn08_embedding_neighbours, ml04_fitted_models, ml05_predictions,
+    jn08_embedding_neighbours, jn08_indexed_neighbours, jn08_index_recall, ml04_fitted_models, ml05_predictions,
     ml12_fitted_comparison, ml14_impurity_importance, top05_strongest_importances,
     ml15_permutation_importance, ml16_partial_dependence, ml05_tree_table_predictions,
     ml05_fitted_forest_and_its_nodes, ml16_tree_table_dependence, scr03_model_score, scr03_tree_table_score,
