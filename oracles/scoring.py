@@ -177,6 +177,11 @@ UNION ALL (SELECT encounter_id, comorbidity_index, round(length_of_stay_log, 6),
     "jn02_care_team_default": f"SELECT event_type AS status, {doctor('upper(event_type)')} AS allocated_doctor, count(*) AS n FROM events GROUP BY event_type",
     "scr08_records": plain("SELECT * EXCLUDE (origin, label) REPLACE (strftime(timestamp, '%Y-%m-%d') AS timestamp) FROM rec", *_R),
     "snk04_appended_records": plain("SELECT record_id, patient_name, risk_score, status FROM rec", *_R),
+    "snk04_upserted_records": plain("SELECT record_id, patient_name, risk_score, status, CAST(strftime(timestamp, '%Y%m') AS INT) AS period FROM rec", *_R),
+    "src05_newest_of_the_store": plain("SELECT record_id, patient_name, risk_score, status FROM rec ORDER BY timestamp DESC, record_id LIMIT 100", *_R),
+    "scr09_merged_feed_of_the_store": plain("""SELECT record_id, patient_name, risk_score, status, blood_group FROM near UNION ALL
+SELECT record_id, patient_name, risk_score, status, NULL FROM rec WHERE origin IN ('O', 'P') AND record_id NOT IN (SELECT record_id FROM near)""", *_R,
+        "near AS MATERIALIZED (SELECT * FROM rec ORDER BY timestamp DESC, record_id LIMIT 100)"),
     "src05_newest_records": plain("SELECT record_id, patient_name, risk_score, status FROM rec ORDER BY timestamp DESC, record_id LIMIT 100", *_R),
     "top04_newest_few": plain("SELECT record_id, risk_score FROM rec ORDER BY timestamp DESC, record_id LIMIT 8", *_R),
     "src06_sample_feed": upto("spl", f"""SELECT patient_name, phone, age, risk_score, los, status, {doctor('status')} AS allocated_doctor FROM (

@@ -12,7 +12,7 @@ from wardline.plans import stages
 from wardline.plans.catalogue.cleaning import rounded
 from wardline.plans.model_table import scaled_split, split_rows
 from wardline.session import staged, work_path
-from wardline.sources import files
+from wardline.sources import files, store
 from wardline.sources.encounters import encounters, table
 from wardline.sources.layout import KEY
 
@@ -206,6 +206,39 @@ def snk04_appended_records(spark, folder):
         "record_id", "patient_name", "risk_score", "status")
 
 
+def _store(spark, folder):
+    """A store that was filled by origin, older records first in another version, and got a batch twice."""
+    def build():
+        made = scored_records(spark, folder).withColumn("origin", F.col("record_id") % 3)
+        path = work_path(spark, "record-store")
+        early = made.where("origin = 0").withColumns({
+            "risk_score": F.lit(0.0), "timestamp": F.col("timestamp") - F.expr("interval 40 days")})
+        for batch in (early, made.where("origin < 2"), made.where("origin > 0"), made.where("origin > 0")):
+            store.upsert(batch.drop("origin"), path, pattern=store.BY_MONTH)
+        return path
+
+    return stages.once(spark, folder, "record-store", build)
+
+
+def snk04_upserted_records(spark, folder):
+    """The store holds every record once, in its last version and under its month."""
+    return store.read_store(spark, _store(spark, folder)).select(
+        "record_id", "patient_name", "risk_score", "status", F.col("period").cast("int"))
+
+
+def src05_newest_of_the_store(spark, folder):
+    return store.newest(spark, _store(spark, folder), 100).select(
+        "record_id", "patient_name", "risk_score", "status")
+
+
+def scr09_merged_feed_of_the_store(spark, folder):
+    """The newest 100 of the store, and the local records that are not among them."""
+    made = scored(spark, folder)
+    local = records.assemble(made.where(F.col("origin").isin("O", "P"))).drop("blood_group")
+    return records.merged_feed(store.newest(spark, _store(spark, folder), 100), local).select(
+        "record_id", "patient_name", "risk_score", "status", "blood_group")
+
+
 def src05_newest_records(spark, folder):
     return records.newest(scored_records(spark, folder), 100).select(
         "record_id", "patient_name", "risk_score", "status")
