@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from oracles.blocks import GAPPED, TOKENS, upto, union_all
-from wardline.sources.layout import CODED, COLUMN_ORDER, NUMERIC
+from oracles.cleaning import MODEL
+from wardline.sources.layout import CODED, COLUMN_ORDER, LABEL_CODED, NUMERIC
 
 _nums = ", ".join(NUMERIC)
 
 SQL = {
     "src01_csv_null_tokens": upto("tok", f"SELECT {', '.join(COLUMN_ORDER)} FROM tok"),
+    "src01_scan_by_header_name": upto("tok", f"SELECT {', '.join(COLUMN_ORDER)} FROM tok WHERE encounter_id % 97 <> 0 AND encounter_id % 89 <> 0"),
+    "src01_scan_rejects": upto("enc", "SELECT CASE WHEN encounter_id % 97 = 0 THEN 'fields' ELSE 'time_in_hospital' END AS reason, count(*) AS n FROM enc WHERE encounter_id % 97 = 0 OR encounter_id % 89 = 0 GROUP BY 1"),
     "src02_stage_csv": upto("prep", f"SELECT encounter_id, readmitted, {_nums} FROM prep"),
     "src03_first_rows": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 120",
     "src04_snapshot": "SELECT p_partkey, p_brand, p_type, p_size FROM part",
@@ -16,6 +19,13 @@ SQL = {
     "snk02_json_mapping": upto("enc", union_all(
         f"SELECT '{c}' AS \"column\", value, CAST(row_number() OVER (ORDER BY value) - 1 AS INT) AS code FROM (SELECT DISTINCT {c} AS value FROM enc) t"
         for c in ("gender", "insulin", "change"))),
+    "snk02_full_mapping": upto("prep", union_all(
+        f"SELECT '{c}' AS \"column\", v AS value, CAST(row_number() OVER (ORDER BY v) - 1 AS INT) AS code FROM (SELECT DISTINCT coalesce(CAST({c} AS VARCHAR), 'nan') AS v FROM prep) t" for c in LABEL_CODED + ["readmitted"])),
+    "snk02_feature_kinds": upto("spl", """SELECT string_agg(c, ',' ORDER BY c) FILTER (k = 'numerical') AS numerical, string_agg(c, ',' ORDER BY c) FILTER (k = 'categorical') AS categorical,
+  CAST(count(*) FILTER (k = 'numerical') AS INT) AS n_numerical, CAST(count(*) FILTER (k = 'categorical') AS INT) AS n_categorical FROM (""" + union_all(
+        f"SELECT '{c}' AS c, CASE WHEN count(DISTINCT {c}) <= 10 OR {str(c in LABEL_CODED).lower()} THEN 'categorical' ELSE 'numerical' END AS k FROM spl WHERE split = 'train'"
+        for c in MODEL) + ") t"),
+    "cst02_conversion_log": "SELECT * FROM (VALUES " + ", ".join([f"('{c}', 'int', 'double')" for c in NUMERIC] + [f"('{c}', 'int', 'string')" for c in CODED]) + ") t(\"column\", \"from\", \"to\")",
     "snk06_report_tables": upto("tok", union_all(
         f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS missing_count, "
         f"round(100.0::DOUBLE * count(*) FILTER (WHERE {c} IS NULL) / count(*), 2) AS missing_pct FROM tok"

@@ -61,7 +61,26 @@ def _routed(columns):
 
 
 _PLACE = "CAST(row_number() OVER (ORDER BY v) - 1 AS INT) AS code"
+_MODEL_CODES = "mdl AS MATERIALIZED (SELECT encounter_id, " + ", ".join(
+    f"k_{c}.code AS {c}" if c in LABEL_CODED else f"t.{c}" for c in MODEL) + f", label, split FROM spl t {code_joins(LABEL_CODED)})"
+
+
+def _scaled_model(places: int | None = 6) -> str:
+    """The model columns, those that are scaled by the training rows' mean and deviation."""
+    def one(c):
+        value = f"(m.{c} - s.{c}_m) / s.{c}_s" if c in _SCALED else f"m.{c}"
+        return f"round({value}, {places}) AS {c}" if places and (c in _SCALED or c in _DOUBLES) else f"{value} AS {c}"
+    return "SELECT encounter_id, " + ", ".join(map(one, MODEL)) + ", label, split FROM mdl m, fit s"
+
+
+_FIT = "fit AS (SELECT " + ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in _SCALED) + " FROM mdl WHERE split = 'train')"
+_GAPS = "gap AS MATERIALIZED (SELECT encounter_id, split, " + ", ".join(
+    f"CASE WHEN (encounter_id + {i}) % 20 <> 0 THEN {c}::DOUBLE END AS {c}" for i, c in enumerate(MODEL)) + " FROM scm)"
+_MEDIANS = "med AS (SELECT " + ", ".join(f"coalesce(quantile_cont({c}, 0.5), 0) AS {c}" for c in MODEL) + " FROM gap WHERE split = 'train')"
 SQL |= {
+    "snk03_model_snapshots": upto("spl", "SELECT *, f AS format FROM (" + _scaled_model() + ") t, (VALUES ('parquet'), ('csv')) v(f)", *_K, _MODEL_CODES, _FIT).replace("SELECT *, f AS format", "SELECT t.*, f AS format"),
+    "cln06_all_model_inputs": upto("spl", "SELECT encounter_id, split, " + ", ".join(f"round(coalesce(gap.{c}, med.{c}), 6) AS {c}" for c in MODEL) + " FROM gap, med",
+        *_K, _MODEL_CODES, _FIT, f"scm AS MATERIALIZED ({_scaled_model(None)})", _GAPS, _MEDIANS),
     "enc02_encoded_columns": _routed(_PLACE + ", n"),
     "enc07_fitted_map": _routed("'{method}' AS method, v AS value, " + _PLACE),
     "fe50_glucose_category": upto("enc", "SELECT encounter_id, CASE WHEN num_lab_procedures + 60 < 100 THEN 'NORMAL' WHEN num_lab_procedures + 60 < 126 THEN 'PREDIABETES' ELSE 'DIABETES RANGE' END AS glucose_category FROM enc"),

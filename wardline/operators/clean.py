@@ -92,6 +92,16 @@ def type_changes(before: DataFrame, after: DataFrame) -> list[tuple[str, str, st
     return [(c, t, new[c]) for c, t in before.dtypes if c in new and new[c] != t]
 
 
+def conversion_log(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(column, from, to) of the columns whose type a conversion changed."""
+    return before.sparkSession.createDataFrame(type_changes(before, after), "column string, from string, to string")
+
+
+def fit_input_medians(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """The imputer of the model inputs: a median of every feature, from the training rows; 0 where none is known."""
+    return dict.fromkeys(features, 0.0) | fit_medians(train, features)
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Full-row de-duplication; identical rows combine before the shuffle."""
     return df.distinct()

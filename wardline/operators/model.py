@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from wardline.operators.clean import fill
 from wardline.operators.logistic import LogisticFit, load_fit, newton, save_fit
 
 # Hyper-parameters of the classifiers.
@@ -106,18 +107,20 @@ def kept_for_fit(df: DataFrame, features: Sequence[str] | None = None, label: st
 
 
 class Scorer(NamedTuple):
-    """A fitted model with what its inputs need: the scaler and the order of the features."""
+    """A fitted model with what its inputs need: the scaler, the order of the features, and the values that fill gaps in
+    the scaled inputs; without them a row with a gap has no probability."""
 
     model: object
     scaler: dict[str, tuple[float, float]]
     features: list[str]
+    medians: dict[str, float] = {}
 
 
 def save_scorer(spark: SparkSession, scorer: Scorer, path: str) -> None:
     save(scorer.model, f"{path}/model")
-    rows = [(i, c, *map(float, scorer.scaler.get(c, (0.0, 1.0))), c in scorer.scaler)
+    rows = [(i, c, *map(float, scorer.scaler.get(c, (0.0, 1.0))), c in scorer.scaler, scorer.medians.get(c))
             for i, c in enumerate(scorer.features)]
-    spark.createDataFrame(rows, "place int, feature string, mean double, std double, scaled boolean").coalesce(1).write.parquet(f"{path}/inputs")
+    spark.createDataFrame(rows, "place int, feature string, mean double, std double, scaled boolean, median double").coalesce(1).write.parquet(f"{path}/inputs")
 
 
 def load_scorer(spark: SparkSession, path: str) -> Scorer | None:
@@ -128,13 +131,15 @@ def load_scorer(spark: SparkSession, path: str) -> Scorer | None:
     except (AnalysisException, Py4JJavaError):
         return None
     return Scorer(fitted, {r["feature"]: (r["mean"], r["std"]) for r in rows if r["scaled"]},
-                  [r["feature"] for r in rows])
+                  [r["feature"] for r in rows],
+                  {r["feature"]: r["median"] for r in rows if "median" in r and r["median"] is not None})
 
 
 def probability(scorer: Scorer, inputs: DataFrame) -> DataFrame:
     """Inputs with ``probability``; NULL where a feature is missing, so that no row ends the job."""
     ready = inputs.withColumns({
         c: (F.col(c) - mean) / std for c, (mean, std) in scorer.scaler.items()})
+    ready = fill(ready, scorer.medians)
     whole = F.lit(True)
     for c in scorer.features:
         whole = whole & F.col(f"`{c}`").isNotNull()

@@ -12,7 +12,9 @@ from wardline.sources import files
 from wardline.sources.encounters import table
 from wardline.sources.layout import (
     CATEGORICAL,
+    DRUG_COMBINATIONS,
     KEY,
+    LABEL_CODED,
     NULL_TOKENS,
     NUMERIC,
     encounter_schema,
@@ -26,6 +28,31 @@ def src01_csv_null_tokens(spark, folder):
     return files.read_csv(spark, path, encounter_schema())
 
 
+def _scan(spark, folder):
+    """The encounters as a file with hyphenated names in another order and a column of its own, in which every 97th line has
+    a field too many and every 89th a word for a number."""
+    def build():
+        names = encounter_schema().fieldNames()[::-1]
+        broken = F.col(KEY) % 97 == 0
+        rows = stages.raw(spark, folder).select(
+            *[F.col(c).cast("string").alias(c.replace("_", "-") if c in DRUG_COMBINATIONS else c) for c in names], F.lit("x").alias("note"))
+        rows = rows.withColumns({"race": F.when(broken, F.lit("one,more")).otherwise(F.col("race")),
+                                 "time_in_hospital": F.when(F.col(KEY) % 89 == 0, F.lit("many")).otherwise(F.col("time_in_hospital"))})
+        path = work_path(spark, "broken-csv")
+        rows.write.option("header", True).option("quote", "").csv(path)
+        return files.scan_csv(spark, path, encounter_schema())
+
+    return stages.once(spark, folder, "scan", build)
+
+
+def src01_scan_by_header_name(spark, folder):
+    return _scan(spark, folder).rows
+
+
+def src01_scan_rejects(spark, folder):
+    return _scan(spark, folder).rejected.groupBy("reason").agg(F.count("*").alias("n"))
+
+
 def src02_stage_csv(spark, folder):
     source = stages.prepared(spark, folder).select(KEY, "readmitted", *NUMERIC)
     path = work_path(spark, "stage-csv")
@@ -64,6 +91,43 @@ def snk02_json_mapping(spark, folder):
     return spark.read.schema(codes.schema).json(path)
 
 
+def snk02_full_mapping(spark, folder):
+    """The codes of all coded columns and the target, as JSON and back."""
+    from wardline.operators.encode import label_codes
+
+    codes = label_codes(stages.prepared(spark, folder), [*LABEL_CODED, "readmitted"])
+    path = work_path(spark, "mapping-json")
+    files.write_json(codes, path)
+    return spark.read.schema(codes.schema).json(path)
+
+
+def snk02_feature_kinds(spark, folder):
+    """Numerical and categorical model columns, as one JSON object with their numbers, and back."""
+    from wardline.operators.profile import model_kinds
+    from wardline.plans.model_table import model_columns, split_rows
+
+    rows = split_rows(spark, folder)
+    kinds = model_kinds(rows.where("split = 'train'"), model_columns(rows), LABEL_CODED)
+
+    def of(kind):
+        return F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("column"))))
+
+    lists = kinds.agg(*[of(k).alias(k) for k in ("numerical", "categorical")])  # one entry a column
+    made = lists.select("*", *[F.size(k).alias(f"n_{k}") for k in lists.columns])
+    path = work_path(spark, "kinds-json")
+    files.write_json(made, path)
+    back = spark.read.schema(made.schema).json(path)
+    return back.select(F.array_join("numerical", ",").alias("numerical"), F.array_join("categorical", ",").alias("categorical"), "n_numerical", "n_categorical")
+
+
+def cst02_conversion_log(spark, folder):
+    """What the preparation casts: numbers to double, codes to text."""
+    from wardline.plans.prepare import impute_and_type
+
+    raw = stages.raw(spark, folder)
+    return clean.conversion_log(raw, impute_and_type(raw, stages.cleaned(spark, folder)[1])[0])
+
+
 def snk06_report_tables(spark, folder):
     raw = clean.null_tokens(stages.raw(spark, folder), NULL_TOKENS)
     report = null_profile(raw)
@@ -135,8 +199,8 @@ def flt07_outside_fences(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    src01_csv_null_tokens, src02_stage_csv, src03_first_rows, src04_snapshot,
-    snk01_csv_round_trip, snk02_json_mapping, snk06_report_tables,
+    src01_csv_null_tokens, src01_scan_by_header_name, src01_scan_rejects, src02_stage_csv, src03_first_rows, src04_snapshot,
+    snk01_csv_round_trip, snk02_json_mapping, snk02_full_mapping, snk02_feature_kinds, cst02_conversion_log, snk06_report_tables,
     prj01_drop_listed, prj02_by_kind, prj04_rename, cst01_numeric_coercion,
     cst02_to_category, cst03_flag, flt01_class_value, flt02_in_list, flt03_known_target,
     flt04_known_values, flt07_outside_fences,

@@ -11,7 +11,7 @@ from wardline.operators.score import AGE_CODE, AGE_MIDDLE, GENDER_CODE, INSULIN_
 from wardline.plans import stages
 from wardline.plans.catalogue.cleaning import rounded
 from wardline.plans.model_table import SCALED, model_columns, scaled_split, split_rows
-from wardline.session import work_path
+from wardline.session import staged, work_path
 from wardline.sources import files
 from wardline.sources.encounters import table
 from wardline.sources.layout import KEY, LABEL_CODED
@@ -206,6 +206,33 @@ def snk03_split_snapshots(spark, folder):
     return spark.read.schema(rows.schema).option("header", True).csv(f"{path}/csv")
 
 
+def snk03_model_snapshots(spark, folder):
+    """All scaled model columns of every split in two formats, both read back."""
+    rows = scaled_split(spark, folder)[0].select(KEY, *model_columns(scaled_split(spark, folder)[0]), "label", "split")
+    path = work_path(spark, "model-splits")
+    kept = staged(rows, "scaled-once")
+    files.write_snapshot(kept, f"{path}/parquet", ["split"])
+    kept.write.partitionBy("split").option("header", True).csv(f"{path}/csv")
+    back = [files.read_snapshot(spark, f"{path}/parquet"), spark.read.schema(kept.schema).option("header", True).csv(f"{path}/csv")]
+    both = [df.select(*kept.columns, F.lit(name).alias("format")) for df, name in zip(back, ("parquet", "csv"))]
+    return rounded(both[0].unionByName(both[1]))
+
+
+def _gapped_inputs(spark, folder):
+    """Scaled model columns as numbers; a twentieth of each has gaps, at other rows for every column."""
+    rows = scaled_split(spark, folder)[0]
+    columns = model_columns(rows)
+    return rows.select(KEY, "split", *[
+        F.when((F.col(KEY) + i) % 20 != 0, F.col(c).cast("double")).alias(c) for i, c in enumerate(columns)]), columns
+
+
+def cln06_all_model_inputs(spark, folder):
+    """Gaps of every model column filled by its median among the training rows."""
+    rows, columns = _gapped_inputs(spark, folder)
+    medians = clean.fit_input_medians(rows.where(F.col("split") == "train"), columns)
+    return rounded(clean.fill(rows, medians))
+
+
 def cln06_model_input_impute(spark, folder):
     """Gaps of every split filled by the median of the training rows."""
     coded = clean.to_number(stages.raw(spark, folder).select(KEY, "diag_2"), ["diag_2"])
@@ -222,5 +249,5 @@ QUERIES |= {f.__name__: f for f in (
     ml01_split, ml01_split_orders, ml02_leakage_checks, ml18_positive_rate,
     ml18_toxic_rate, agg08_split_summary, agg19_rate_spread, scl01_scaler,
     scl02_scaled_rows, scl03_scaling_report, snk03_split_snapshots,
-    cln06_model_input_impute,
+    cln06_model_input_impute, cln06_all_model_inputs, snk03_model_snapshots,
 )}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wardline.operators import clean
@@ -21,10 +21,15 @@ class CleaningParams:
     outliers: dict[str, dict[str, float]] = field(default_factory=dict)
 
 
+def _known_cells(df: DataFrame) -> list:
+    return [F.count("*").alias("rows"), *[F.count(f"`{c}`").alias(f"known_{c}") for c in df.columns]]
+
+
 def impute_and_type(
-    raw: DataFrame, params: CleaningParams | None = None
+    raw: DataFrame, params: CleaningParams | None = None, seen: Observation | None = None
 ) -> tuple[DataFrame, CleaningParams]:
-    """Null tokens out, gaps filled, declared types enforced."""
+    """Null tokens out, gaps filled, declared types enforced. ``seen`` gets the rows and known cells of each column
+    before gaps are filled, once the result is written."""
     known = clean.null_tokens(raw, NULL_TOKENS)
     if params is None:
         lacking = set(clean.columns_with_gaps(known)) - {KEY, PATIENT}
@@ -34,6 +39,8 @@ def impute_and_type(
             modes=clean.fit_modes(
                 known, [c for c in clean.columns_of_kind(known, False) if c in lacking]),
         )
+    if seen is not None:
+        known = known.observe(seen, *_known_cells(known))
     filled = clean.fill(clean.fill(known, params.medians), params.modes)
     numbers = [c for c in NUMERIC if c in filled.columns]
     categories = [c for c in CATEGORICAL if c in filled.columns]
@@ -41,15 +48,28 @@ def impute_and_type(
 
 
 def prepare(
-    raw: DataFrame, params: CleaningParams | None = None
+    raw: DataFrame, params: CleaningParams | None = None, metrics: dict[str, dict[str, int]] | None = None
 ) -> tuple[DataFrame, CleaningParams]:
     """The full chain up to winsorised, un-encoded rows.
 
+    ``metrics``, if given, gets ``before`` and ``after``: rows, and ``known_<column>`` cells, collected by the
+    write below without a scan of their own. A stage that is run again after the loss of an executor
+    would count rows twice; where the rows before differ from the table's own count, both are counted by a scan.
+
     The distinct rows are the one wide shuffle; they are written once, so the fence
     fit and every later stage read back only the columns they need.
     """
-    typed, params = impute_and_type(raw, params)
-    unique = staged(clean.distinct_rows(typed), "distinct")
+    before, after = Observation("before"), Observation("after")
+    typed, params = impute_and_type(raw, params, before if metrics is not None else None)
+    distinct = clean.distinct_rows(typed)
+    if metrics is not None:
+        distinct = distinct.observe(after, *_known_cells(distinct))
+    unique = staged(distinct, "distinct")
+    if metrics is not None:
+        metrics |= {"before": before.get, "after": after.get}
+        if metrics["before"]["rows"] != raw.count():
+            known = clean.null_tokens(raw, NULL_TOKENS)
+            metrics |= {name: df.agg(*_known_cells(df)).first().asDict() for name, df in (("before", known), ("after", unique))}
     if not params.outliers:
         params.outliers = clean.fit_outliers(unique, [c for c in NUMERIC if c in unique.columns])
     return clean.winsorise(unique, params.outliers), params
