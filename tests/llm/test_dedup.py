@@ -13,7 +13,8 @@ from wardline.llm import queries
 from wardline.llm.chunks import LEAST, MOST, exact_groups, recipes
 from wardline.llm.components import connected_components
 from wardline.llm.oracle import SQL
-from wardline.llm.parity import near_groups, segment_keys, segments
+from wardline.llm import parity
+from wardline.llm.parity import bit_sketch, folded, near_groups, segment_keys, segments, sketch_bits
 from wardline.llm.spans import without_repeats
 from wardline.llm.words import WordHasher, slices, window_hashes
 
@@ -118,7 +119,56 @@ def brute_components(texts, size, percent):
     return {i: (len(sets[i]), find(i)) for i in range(len(texts))}
 
 
-@pytest.mark.parametrize("size, percent, rounds", [(4, 85, 1), (5, 80, 2)])
+@pytest.mark.parametrize("percent", [40, 50, 60, 70])
+def test_no_link_is_lost_at_low_percentages(percent):
+    rng = np.random.default_rng(percent)
+    for n in [3, 20, 90, 400]:
+        for _ in range(30):
+            a = rng.integers(0, 2**63, n, dtype=np.uint64)
+            more = int(n * (100 / percent - 1) * rng.random())
+            b = np.concatenate([a, rng.integers(0, 2**63, more, dtype=np.uint64)])
+            if 100 * n >= percent * len(b):
+                assert set(segment_keys(a, percent).tolist()) & set(segment_keys(b, percent).tolist()), (n, len(b))
+
+
+def test_sketches_bound_the_difference_at_any_width():
+    rng = np.random.default_rng(3)
+    for n in (5, 300, 3000):
+        a = rng.integers(0, 2**63, n, dtype=np.uint64)
+        b = np.concatenate([a[n // 5 :], rng.integers(0, 2**63, n // 4, dtype=np.uint64)])
+        differ = n // 5 + n // 4
+        wide = [bit_sketch(x, 8192) for x in (a, b)]
+        for bits in (256, 1024, 8192):
+            x, y = (folded(w, bits // 8) for w in wide)
+            assert (x == bit_sketch(a, bits)).all() and np.bitwise_count(x ^ y).sum() <= differ
+    assert sketch_bits(1, 85, 8, (256, 1 << 17)) == 256 and sketch_bits(3000, 85, 8, (256, 1 << 17)) == 8192
+
+
+def alike(n, words, share, seed=4):
+    """Texts that have about ``share`` of one text's words each, so that all pairs are alike."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    return [" ".join(w if rng.random() < share else f"n{k}_{i}" for i, w in enumerate(base)) for k in range(n)]
+
+
+def test_pairs_below_the_threshold_are_sorted_out_by_their_sketches(spark, monkeypatch):
+    """125,000 pairs of similarity 0.72, none of 0.8; sets are read for next to none of them."""
+    asked = []
+    plain = parity._verified
+    monkeypatch.setattr(parity, "_verified", lambda rows, pairs, *rest: (asked.append(pairs.distinct().count()), plain(rows, pairs, *rest))[1])
+    df = spark.createDataFrame(list(enumerate(alike(500, 1200, 0.915))), "doc_id int, text string").repartition(4)
+    got = near_groups(df, size=1, percent=80).collect()
+    assert {r.component_id for r in got} == set(range(500)) and sum(asked) < 2_500
+
+
+def test_large_segments_are_cut_into_blocks(spark):
+    texts = alike(60, 40, 0.97) + family(9)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_groups(df, size=2, percent=80, rounds=0, block=4).collect()}
+    assert got == brute_components(texts, 2, 80)
+
+
+@pytest.mark.parametrize("size, percent, rounds", [(4, 85, 1), (5, 80, 2), (3, 50, 2), (2, 60, 0)])
 def test_components_match_brute_force(spark, size, percent, rounds):
     texts = family(size)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4)

@@ -4,8 +4,8 @@ A set of shingles is dealt by hash over m segments; a segment's sketch is the XO
 64-bit hashes. Every shingle of one set only changes one segment, so the number of segments that
 differ is at most the size of the symmetric difference. Sets of similarity t and sizes a, b differ by at
 most (1 - t)(a + b) / (1 + t) shingles; with more segments than that, at least one is equal, and equal
-segments are a hash join. Sizes are banded, since the bound and so m depend on them. A short bit sketch
-with one bit for each shingle bounds the difference again before a pair is verified on the sets.
+segments are a hash join. Sizes are banded, since the bound and so m depend on them. A bit sketch, some bits wide
+for each shingle by which a pair may differ, bounds the difference again before a pair is verified on the sets.
 """
 
 from __future__ import annotations
@@ -23,7 +23,11 @@ from wardline.llm.words import WordHasher, mix, signed, slices, window_hashes
 from wardline.session import staged
 
 BAND = 1.5
-ROUNDS = 2
+#: Sketch bits for each shingle by which a pair may differ: for testing pairs, and for rows that carry one beside each segment.
+WIDE, NARROW = 8, 4
+WIDE_BITS, NARROW_BITS = (256, 1 << 17), (512, 2048)
+#: Classes of one segment that meet in one task; a larger segment is cut into blocks that meet in pairs.
+BLOCK = 2_048
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -46,14 +50,14 @@ def segments(percent: int, stop: int) -> tuple[int, int]:
 
 
 def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """Join keys of one set of hashes: its own band's, and the lower band's if a pair may reach into it."""
+    """Join keys of one set of hashes: its own band's, and those of the lower bands that a pair may reach into."""
     n = len(shingles)
     starts = band_starts(percent, n)
     own = len(starts) - 2
     keys = []
-    for band in (own, own - 1):
-        if band < 0 or (band != own and not n * percent < starts[band + 1] * 100):
-            continue
+    for band in range(own, -1, -1):
+        if band != own and not n * percent < starts[band + 1] * 100:
+            break
         most, m = segments(percent, starts[band + 1])
         at = (mix(shingles + np.array([band + 1], np.uint64) * _K) % np.uint64(m)).astype(np.int64)
         order = np.argsort(at, kind="stable")
@@ -67,10 +71,23 @@ def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def bit_sketch(shingles: np.ndarray) -> np.ndarray:
-    """256 bits, each the parity of the shingles that hash to it."""
-    counts = np.bincount((mix(shingles * _K) & np.uint64(255)).astype(np.int64), minlength=256)
-    return np.packbits(counts.astype(np.uint8) & 1).view(np.int64)
+def sketch_bits(n: int, percent: int, factor: int, bounds: tuple[int, int]) -> int:
+    """Bits of a sketch of ``n`` shingles: a power of two, so that a wider sketch folds into a narrower one."""
+    wanted = factor * segments(percent, n + 1)[0]
+    return min(max(1 << max(wanted - 1, 0).bit_length(), bounds[0]), bounds[1])
+
+
+def bit_sketch(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """Bytes of ``bits`` bits, each the parity of the shingles that hash to it."""
+    at = (mix(shingles * _K) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little")
+
+
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of ``size`` bytes of the same shingles: halves are put over each other."""
+    while len(sketch) > size:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
 
 
 def shingle_rows(column: pa.Array, size: int):
@@ -90,54 +107,156 @@ def shingle_rows(column: pa.Array, size: int):
                 yield i + k, np.unique(hashes[by_doc[k] : by_doc[k + 1]])
 
 
-BITS = [f"b{i}" for i in range(4)]
-
-
 def _sketches(size: int, percent: int):
-    fields = [("n", pa.int64()), ("same", pa.binary()), ("cls", pa.int64()), *[(b, pa.int64()) for b in BITS], ("keys", pa.list_(pa.int64()))]
-
+    """Size, name and wide bit sketch of every text's set."""
     def run(batches):
         for batch in batches:
-            out: list[list] = [[] for _ in fields]
-            seen = set()
+            n_of, same, sketch = [], [], []
             for _, shingles in shingle_rows(batch.column(1), size):
                 n = len(shingles)
                 name = np.array([n, *[np.bitwise_xor.reduce(mix(shingles + np.uint64(s))) if n else 0 for s in (1, 2)]], np.uint64)
-                same = name.tobytes()
-                keys = signed(segment_keys(shingles, percent)) if n and same not in seen else np.zeros(0, np.int64)
-                seen.add(same)  # equal sets have equal keys; one row of a batch carries them
-                row = [n, same, int(mix(name[:1] + name[1:2]).view(np.int64)[0]), *bit_sketch(shingles).tolist(), keys]
-                for column, value in zip(out, row):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, t) for x, (_, t) in zip(out, fields)]],
-                                             ["id", *[f for f, _ in fields]])
+                n_of.append(n)
+                same.append(name.tobytes())
+                sketch.append(bit_sketch(shingles, sketch_bits(n, percent, WIDE, WIDE_BITS)).tobytes() if n else b"")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n_of, pa.int64()), pa.array(same, pa.binary()), pa.array(sketch, pa.binary())], ["id", "n", "same", "sketch"])
+    return run
+
+
+def _keys(size: int, percent: int):
+    """A row for every segment of a set; of equal sets in a batch one is dealt."""
+    def run(batches):
+        for batch in batches:
+            ids, seen = batch.column(0).to_pylist(), set()
+            held, n = [], 0
+            for k, shingles in shingle_rows(batch.column(1), size):
+                name = shingles.tobytes() if len(shingles) < 64 else (len(shingles), *(int(np.bitwise_xor.reduce(mix(shingles + np.uint64(s)))) for s in (1, 2)))
+                if ids[k] is None or not len(shingles) or name in seen:
+                    continue
+                seen.add(name)
+                found = signed(segment_keys(shingles, percent))
+                held.append((found, np.full(len(found), ids[k])))
+                n += len(found)
+                if n > 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["segment", "id"])
+                    held, n = [], 0
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["segment", "id"])
     return run
 
 
 def _shared(batches):
-    """Of rows in order of (segment, class), those whose segment another class has too.
+    """Of rows in order of (segment, id), those whose segment another id has too, beside the segment's first id and the one before.
 
     A partition's first and last rows stay in any case, as their neighbours are elsewhere.
     """
-    held, before = None, None
+    held, before, lead = None, None, None  # the last row is held until the next is known; the one before it; its segment's first id
+
+    def rows(segment, ids, first, last):
+        return pa.RecordBatch.from_arrays([pa.array(segment), pa.array(ids), pa.array(first), pa.array(last)], ["segment", "id", "first", "last"])
+
     for batch in batches:
+        segment, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         if held is not None:
-            batch = pa.concat_batches([held, batch])
-        segment, cls = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            segment, ids = np.append(held[0], segment), np.append(held[1], ids)
         new = np.ones(len(segment), bool)
-        new[1:] = (segment[1:] != segment[:-1]) | (cls[1:] != cls[:-1])
-        rows = np.flatnonzero(new)  # without what repeats a class
-        s = segment[rows]
-        keep = np.ones(len(rows), bool)
-        keep[1:-1] = (s[1:-1] == s[2:]) | (s[1:-1] == s[:-2])
-        if before is not None:
-            keep[0] = len(s) < 2 or s[0] == before or s[0] == s[1]
-        if len(rows) > 1:
-            before = s[-2]
-        held = batch.take(pa.array(rows[-1:]))
-        yield batch.take(pa.array(rows[:-1][keep[:-1]]))
+        new[1:] = (segment[1:] != segment[:-1]) | (ids[1:] != ids[:-1])
+        segment, ids = segment[new], ids[new]  # without what repeats an id
+        if not len(segment):
+            continue
+        start = np.ones(len(segment), bool)
+        start[1:] = segment[1:] != segment[:-1]
+        at = np.maximum.accumulate(np.where(start, np.arange(len(segment)), 0))
+        first, last = ids[at], np.where(start, ids, np.roll(ids, 1))
+        if before is not None and segment[0] == before[0]:  # the first segment began earlier
+            first[at == 0], last[0] = lead, before[1]
+        keep = ~start
+        keep[:-1] |= ~start[1:]
+        keep[0] |= before is None or segment[0] == before[0]
+        keep[-1] = False
+        yield rows(segment[keep], ids[keep], first[keep], last[keep])
+        if len(segment) > 1:
+            before = (segment[-2], ids[-2])
+        lead = first[-1]
+        held = (segment[-1], ids[-1])
     if held is not None:
-        yield held
+        same = before is not None and before[0] == held[0]
+        yield rows([held[0]], [held[1]], [lead if same else held[1]], [before[1] if same else held[1]])
+
+
+def _possible(percent: int):
+    """Whether sizes and wide sketches leave a pair possible."""
+    def run(n, sketch, n2, sketch2):
+        out = []
+        for a, x, b, y in zip(n.to_pylist(), sketch, n2.to_pylist(), sketch2):
+            x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
+            size = min(len(x), len(y))
+            differ = int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum())
+            out.append(differ * (100 + percent) <= (a + b) * (100 - percent))
+        return pa.array(out, pa.bool_())
+    return F.arrow_udf(run, "boolean")
+
+
+def _narrow(percent: int):
+    def run(n, sketch):
+        return pa.array([folded(np.frombuffer(v.as_buffer(), np.uint8), sketch_bits(a, percent, NARROW, NARROW_BITS) // 8).tobytes()
+                         for a, v in zip(n.to_pylist(), sketch)], pa.binary())
+    return F.arrow_udf(run, "binary")
+
+
+def _apart_pairs(percent: int, rows_at_once: int = 20_000, pairs_at_once: int = 100_000):
+    """Rows in order of (segment, i, j): pairs of classes of one segment, of different components, that sizes and narrow
+    sketches leave possible. Where i and j differ, only pairs of a class of block i and one of block j."""
+    def pairs_of(table: pa.Table):
+        segment, i, j, block, node, component, n = (table.column(c).to_numpy() for c in ("segment", "i", "j", "block", "node", "component", "n"))
+        raw = [np.frombuffer(v, np.uint8) for v in table.column("sketch").to_pylist()]
+        level = np.array([len(v) for v in raw])
+        levels = {}
+        for size in np.unique(level):
+            place = np.full(len(raw), -1)
+            wide = np.flatnonzero(level >= size)
+            place[wide] = np.arange(len(wide))
+            levels[size] = place, np.stack([folded(raw[r], size) for r in wide])
+        start = np.ones(len(segment), bool)
+        start[1:] = (segment[1:] != segment[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        end = np.append(np.flatnonzero(start)[1:], len(segment))[np.cumsum(start) - 1]
+        count = end - np.arange(len(segment)) - 1  # each row meets the later ones of its group
+        ahead = np.concatenate([[0], np.cumsum(count)])
+        a = 0
+        while a < len(count):
+            b = max(int(np.searchsorted(ahead, ahead[a] + pairs_at_once, "right")) - 1, a + 1)
+            x = np.repeat(np.arange(a, b), count[a:b])
+            y = x + 1 + np.arange(len(x)) - np.repeat(ahead[a:b] - ahead[a], count[a:b])
+            some = ((component[x] != component[y]) & ((i[x] == j[x]) | (block[x] != block[y]))
+                    & (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent))
+            x, y = x[some], y[some]
+            differ = np.zeros(len(x), np.int64)
+            least = np.minimum(level[x], level[y])
+            for size, (place, matrix) in levels.items():
+                mine = np.flatnonzero(least == size)
+                differ[mine] = np.bitwise_count(matrix[place[x[mine]]] ^ matrix[place[y[mine]]]).sum(axis=1, dtype=np.int64)
+            near = differ * (100 + percent) <= (n[x] + n[y]) * (100 - percent)
+            u, v = node[x[near]], node[y[near]]
+            pair = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1) if len(u) else np.zeros((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["node", "node2"])
+            a = b
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            if n >= rows_at_once:  # up to where the last group ends
+                last = [held[-1].column(c)[-1].as_py() for c in ("segment", "i", "j")]
+                other = np.flatnonzero(np.any([batch.column(c).to_numpy(zero_copy_only=False) != x for c, x in zip(("segment", "i", "j"), last)], axis=0))
+                if len(other):
+                    held.append(batch.slice(0, int(other[0])))
+                    yield from pairs_of(pa.Table.from_batches(held))
+                    held, n, batch = [], 0, batch.slice(int(other[0]))
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+        if held:
+            yield from pairs_of(pa.Table.from_batches(held))
+    return run
 
 
 def _sets(size: int):
@@ -149,7 +268,7 @@ def _sets(size: int):
 
 
 def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85,
-                rounds: int = ROUNDS) -> DataFrame:
+                rounds: int = 2, block: int = BLOCK) -> DataFrame:
     """``(key, n_shingles, component_id)`` for every row of ``df``.
 
     Rows are linked when their sets of ``size``-word shingles (A-Z folded) have at least ``percent``
@@ -158,42 +277,51 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
     are one document of several texts: they share their links. A row with a null key shares the component of
     its equals and has none without them. Shingles are compared by 64-bit hashes. Other columns are not read.
 
-    Sets that are equal are one class and meet the join once. Within the documents of an equal segment,
-    rounds of comparisons with one changing member link most; then only pairs that are not yet in
-    one component are compared, all of them, so no link is lost.
+    Sets that are equal are one class. Of the classes of a segment first each is compared with the first one (and in
+    the second of ``rounds`` with the one before), which links most families; then all pairs that are not yet in one component,
+    so no link is lost. Bit sketches as wide as the sizes need sort out pairs before any set is read.
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
-    sketches = staged(rows.mapInArrow(_sketches(size, percent), "id bigint, n bigint, same binary, cls bigint, "
-                                      + "".join(f"{b} bigint, " for b in BITS) + "keys array<bigint>"), "sketches")
-    heads = staged(sketches.where("n > 0").groupBy("same", "cls", "n", *BITS).agg(F.min("id").alias("node"))
+    sketches = staged(rows.mapInArrow(_sketches(size, percent), "id bigint, n bigint, same binary, sketch binary"), "sketches")
+    heads = staged(sketches.where("n > 0").groupBy("same").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
                    .where("node is not null"), "classes")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = staged(sketches.select(F.explode("keys").alias("segment"), "cls")
-                    .repartitionByRange(parts, "segment", "cls").sortWithinPartitions("segment", "cls")
-                    .mapInArrow(_shared, "segment bigint, cls bigint"), "segments")
-
-    sides = heads.select("cls", "node", "n", *BITS)
-    stars = None
-    for r in range(rounds):
-        leader = shared.groupBy("segment").agg(F.min_by("cls", F.xxhash64("cls", F.lit(r))).alias("lead"))
-        some = shared.join(leader, "segment").where("cls != lead").select("cls", "lead")
-        stars = some if stars is None else stars.unionByName(some)
-    pairs = (stars.distinct().join(sides, "cls").join(_renamed(sides).withColumnRenamed("cls2", "lead"), "lead")
-             .where(_near(percent)).select("node", "node2", "n", "n2"))
-    links = _verified(rows, pairs, size, percent)
+    shared = staged(rows.mapInArrow(_keys(size, percent), "segment bigint, id bigint")
+                    .repartitionByRange(parts, "segment", "id").sortWithinPartitions("segment", "id")
+                    .mapInArrow(_shared, "segment bigint, id bigint, first bigint, last bigint"), "segments")
+    # Ids that stand for another one's class; others are their own node.
+    moved = small(staged(sketches.where("n > 0").join(heads.select("same", "node"), "same").where("id != node")
+                         .select("id", "node").distinct(), "moved"))
+
+    def to_node(rows_, column):
+        named = rows_.join(moved.withColumnsRenamed({"id": column, "node": "_node"}), column, "left")
+        return named.withColumn(column, F.coalesce("_node", column)).drop("_node")
+
+    stars = shared.select("id", F.explode(F.array(*["first", "last"][:rounds])).alias("lead")).where("id != lead").distinct()
+    stars = to_node(to_node(stars, "id"), "lead").where("id != lead").select(F.col("id").alias("node"), F.col("lead").alias("node2"))
+    links = _verified(rows, _sorted_out(stars, heads, percent), size, percent)
     found = staged(connected_components(links.select(F.col("node").alias("u"), F.col("node2").alias("v"))), "components")
 
-    apart = (shared.join(sides, "cls").join(found.withColumnRenamed("id", "node"), "node", "left")
-             .withColumn("component", F.coalesce("component", "node")))
-    open_segments = (apart.groupBy("segment").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                     .where("lo != hi").select("segment"))
-    apart = staged(apart.join(open_segments, "segment"), "apart")
-    others = _renamed(apart).withColumnRenamed("segment2", "segment")
-    rest = (apart.join(others, "segment").where("component < component2").where(_near(percent))
-            .select("node", "node2", "n", "n2", F.col("component").alias("u"), F.col("component2").alias("v")))
-    bridges = _verified(rows, rest, size, percent).select("u", "v")
-    joined = staged(connected_components(bridges), "bridges")
+    placed = to_node(shared.select("segment", "id"), "id").withColumnRenamed("id", "node")
+    placed = placed.join(small(found.withColumnRenamed("id", "node")), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_segments = (placed.groupBy("segment").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"))
+                     .where("lo != hi").select("segment", F.ceil(F.col("members") / block).alias("blocks")))
+    apart = staged(placed.join(open_segments, "segment"), "apart")
+    sides = heads.select("node", "n", _narrow(percent)("n", "sketch").alias("sketch"))
+    shard = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    meeting = (apart.join(sides, "node").withColumn("block", shard).withColumn("_other", other)
+               .select("segment", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"), "block", "node", "component", "n", "sketch"))
+    by = ["segment", "i", "j"]
+    rest = meeting.repartition(*by).sortWithinPartitions(*by).mapInArrow(_apart_pairs(percent), "node bigint, node2 bigint").distinct()
+    bridges = _verified(rows, _sorted_out(rest, heads, percent), size, percent)
+    names = small(found.withColumnsRenamed({"id": "node", "component": "_c"}))
+
+    def to_component(rows_, column):
+        return rows_.join(names.withColumnRenamed("node", column), column, "left").withColumn(column, F.coalesce("_c", column)).drop("_c")
+
+    joined = staged(connected_components(to_component(to_component(bridges.select("node", "node2"), "node"), "node2").toDF("u", "v")), "bridges")
     final = (found.withColumnRenamed("id", "node").join(joined.select(F.col("id").alias("component"), F.col("component").alias("root")), "component", "left")
              .select("node", F.coalesce("root", "component").alias("root"))
              .unionByName(joined.join(found.select("id"), "id", "left_anti").select(F.col("id").alias("node"), F.col("component").alias("root"))))
@@ -203,20 +331,18 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
 
 
-def _renamed(df: DataFrame) -> DataFrame:
-    return df.select([F.col(c).alias(f"{c}2") for c in df.columns])
-
-
-def _near(percent: int):
-    """Sizes and bit sketches leave the pair possible."""
-    differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}2"))) for b in BITS[1:]), F.bit_count(F.col("b0").bitwiseXOR(F.col("b02"))))
-    return ((F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
-            & (differ * (100 + percent) <= (F.col("n") + F.col("n2")) * (100 - percent)))
+def _sorted_out(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sizes and wide sketches leave possible."""
+    sides = heads.select("node", "n", "sketch")
+    both = pairs.join(sides, "node").join(sides.toDF("node2", "n2", "sketch2"), "node2")
+    both = both.where(F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
+    return both.where(_possible(percent)("n", "sketch", "n2", "sketch2")).select("node", "node2")
 
 
 def _verified(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose sets are similar enough; only the texts that a pair names are read again."""
-    pairs = staged(pairs.where("node != node2").distinct(), "pairs")
+    pairs = staged(pairs.select(F.least("node", "node2").alias("node"), F.greatest("node", "node2").alias("node2"))
+                   .where("node != node2").distinct(), "pairs")
     asked = pairs.select(F.col("node").alias("id")).unionByName(pairs.select(F.col("node2").alias("id"))).distinct()
     sets = staged(rows.join(small(staged(asked, "asked")), "id", "left_semi").mapInArrow(_sets(size), "id bigint, shingles array<bigint>"), "sets")
     first = sets.select(F.col("id").alias("node"), F.col("shingles").alias("a"))
