@@ -52,6 +52,46 @@ def test_blocks_stand_alone_and_damage_is_found():
         decode(frame[:-4])
 
 
+def test_a_damaged_model_is_found():
+    frame = bytearray(encode(np.array([3, 1, 4, 1, 5] * 400, np.uint32)))
+    frame[25] ^= 4
+    with pytest.raises(Damaged):
+        decode(bytes(frame))
+    with pytest.raises(Damaged):
+        decode(bytes(frame[:18]))
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 300])
+def test_blocks_of_any_size(block):
+    rng = random.Random(block)
+    ids = np.array([rng.choice([1, 2, 2, 2, 900, 70_000 + rng.randrange(40)]) for _ in range(1500)], np.uint32)
+    frame = encode(ids, block)
+    assert decode(frame).tolist() == ids.tolist()
+    assert decode(frame, [2, 0]).tolist() == ids[2 * block : 3 * block].tolist() + ids[:block].tolist()
+
+
+def test_many_different_ids():
+    """More ids than the table of pairs takes."""
+    rng = np.random.default_rng(3)
+    ids = np.concatenate([rng.integers(0, 9000, 40_000), np.tile([5, 8999, 17], 3000)]).astype(np.uint32)
+    assert decode(encode(ids)).tolist() == ids.tolist()
+
+
+def test_frames_are_smaller_than_order_0_and_zstd(spark):
+    import pyarrow.parquet as pq
+    import zstandard
+
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])
+    words = WordTokens(vocabulary("word_bpe_49k.json"), False)
+    ids = np.concatenate([np.insert(found, offsets[1:], np.uint32(2)) for _, found, offsets in words.encode(table.column("text").combine_chunks())]).astype(np.uint32)
+    share = np.bincount(ids)[np.bincount(ids) > 0] / len(ids)
+    frame = encode(ids)
+    bits = 8 * len(frame) / len(ids)
+    assert bits < -(share * np.log2(share)).sum() - 1 and bits < 7
+    assert len(frame) < 0.85 * len(zstandard.compress(ids.astype("<u2").tobytes(), 3))
+    assert (decode(frame) == ids).all()
+
+
 def test_token_files_match_a_plain_count(spark, folder):
     tokenizer = WordTokens(vocabulary("word_bpe_49k.json"), False).tokenizer
     start, want = 0, {}

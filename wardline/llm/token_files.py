@@ -20,7 +20,7 @@ from wardline.llm.coder import decode, encode
 from wardline.llm.tokens import tokens_of
 from wardline.session import work_path
 
-SEGMENT_IDS = 6_000_000
+SEGMENT_IDS = 4_000_000
 _FIELDS = "part bigint, segment bigint, n_docs bigint, n_ids bigint, documents binary, frame binary"
 
 
