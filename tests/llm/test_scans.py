@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import string
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +57,49 @@ def test_a_key_in_a_sensitive_place_is_novel_and_prose_is_not():
     assert scan.spans(f"bearer {key} and bearer {key}")[0][0] == "novel"
 
 
+def _keys(alphabet, size, n=300):
+    rng = random.Random(size)
+    return ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("alphabet, size", [
+    (string.ascii_letters, 16), (string.ascii_letters, 20), (string.ascii_letters + string.digits, 12),
+    (string.ascii_letters + string.digits, 16), (string.ascii_letters + string.digits, 32), (string.digits + "abcdef", 24)])
+def test_keys_in_sensitive_places_are_found(alphabet, size):
+    """Whatever letters and digits a key has; the texts are those of the corpus."""
+    rng, scan = random.Random(size), Scanner()
+    texts = [t for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist() if t and len(t) > 600]
+    found = 0
+    keys = _keys(alphabet, size)
+    for key in keys:
+        text = rng.choice(texts)
+        at = text.index(" ", rng.randrange(len(text) // 2))
+        start = at + len(" Authorization: Bearer ")
+        found += ("novel", start, start + size) in [s[:3] for s in scan.spans(f"{text[:at]} Authorization: Bearer {key}{text[at:]}")]
+    assert found >= 0.95 * len(keys)
+
+
+def test_few_words_of_the_corpus_are_taken_for_keys():
+    """Long words behind a sensitive one, in 10,000 documents."""
+    scan, seen, reports = Scanner(), 0, 0
+    open_ = Scanner(novelty=-9.0)
+    for text in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column("text").to_pylist():
+        seen += sum(s[0] == "novel" for s in open_.spans(text))
+        reports += sum(s[0] == "novel" and s[3] >= scan.novelty for s in open_.spans(text))
+    assert seen >= 10 and reports <= 2
+
+
+def test_words_in_a_sensitive_place_are_no_keys():
+    """Every long word of the corpus, put behind a sensitive word."""
+    scan, n, wrong = Scanner(), 0, 0
+    for text in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist():
+        for m in list(re.finditer(r"(?<= )[A-Za-z]{12,}(?= )", text or ""))[:2]:
+            if len(text) > 600:
+                n += 1
+                wrong += any(s[0] == "novel" for s in scan.spans(f"{text[: m.start()]}token {text[m.start() :]}"[max(0, m.start() - 2000) : m.end() + 2000]))
+    assert n > 300 and wrong <= 0.03 * n
+
+
 def test_secret_edges(edge, nothing):
     rows = scan_secrets(edge).collect()
     assert len(rows) == edge.count() and all(r.secrets == [] for r in rows if not r.text)

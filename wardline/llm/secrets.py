@@ -2,8 +2,8 @@
 
 A candidate in a sensitive context is weighed by the bytes it adds to its own surroundings in a
 zstandard frame primed with common identifiers: text and identifiers repeat what the dictionary or
-the context holds and cost little; a key costs nearly its whole length. Runs without a digit or without
-a letter are not weighed.
+the context holds and cost little; a key costs nearly its whole length. The measure alone decides, whatever
+letters and digits a run has.
 """
 
 from __future__ import annotations
@@ -43,16 +43,17 @@ _TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end"
 
 class Scanner:
     """``reach``: characters after a sensitive word that are its context; ``least``: a candidate's
-    shortest length; ``novelty``: bytes it must add for each of its own."""
+    shortest length; ``novelty``: bytes it must add for each of its own; ``around``: characters before and
+    behind it that it is weighed against, enough for the compressor to know the text's letters."""
 
-    def __init__(self, reach: int = 80, least: int = 12, novelty: float = 0.7):
-        self.reach, self.least, self.novelty = reach, least, novelty
+    def __init__(self, reach: int = 80, least: int = 12, novelty: float = 0.76, around: tuple[int, int] = (1024, 512)):
+        self.reach, self.least, self.novelty, self.around = reach, least, novelty, around
         self.assign = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
         self.access = re.compile(ACCESS)
         self.hex = re.compile(r"[0-9a-f]{32,}")  # the runs of HEX that are long enough
         self.sensitive = re.compile("|".join(map(re.escape, SENSITIVE)), re.IGNORECASE | re.ASCII)
         self.candidate = re.compile(rf"[A-Za-z0-9+/_=.~-]{{{least},}}")
-        self.packer = zstandard.ZstdCompressor(level=3, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(
+        self.packer = zstandard.ZstdCompressor(level=19, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(
             IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
     def base(self, text: str, lower: str) -> list[tuple]:
@@ -85,11 +86,13 @@ class Scanner:
                 done = end
                 while k < len(busy) and busy[k][1] <= start:
                     k += 1
-                found = text[start:end]
-                if any(a < end and start < b for a, b in busy[k : k + 4]) or not re.search(r"\d", found) or not re.search(r"[A-Za-z]", found):
+                found = text[start:end].rstrip(".")  # the full stop of a sentence
+                end = start + len(found)
+                if len(found) < self.least or any(a < end and start < b for a, b in busy[k : k + 4]):
                     continue
                 # Copies of the candidate around it do not make it less of a secret.
-                score = self.marginal(text[max(0, start - 256) : start].replace(found, " "), found, text[end : end + 128].replace(found, " "))
+                before, after = text[max(0, start - self.around[0]) : start], text[end : end + self.around[1]]
+                score = self.marginal(before.replace(found, " "), found, after.replace(found, " "))
                 if score >= self.novelty:
                     out.append(("novel", start, end, score))
         return out
