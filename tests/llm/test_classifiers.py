@@ -4,11 +4,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.compare import duck
 from wardline.llm import queries
 from wardline.llm.quality import fit_quality, quality_score
 from wardline.llm.svm import calibrate, dual_coordinate_descent
 from wardline.llm.tables import documents, table
-from wardline.llm.toxicity import fit_toxicity, kernel, toxicity_score, units
+from wardline.llm import toxicity
+from wardline.llm.toxicity import fit_rows, fit_toxicity, kernel, toxicity_score, units, worst_of
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -72,6 +74,7 @@ def test_kernel_is_the_gapped_subsequence_kernel():
 
 
 def test_units():
+    assert units("an i-d-i-o-t, re-tell") == {"an", "i-d-i-o-t", "idiot", "re-tell", "retell"}
     assert units(None) == units("") == set() and units("You, (Idiot)!") == {"you", "idiot"}
     assert "idiot" in units("an i d i o t speaks") and max(map(len, units("a" * 1000))) <= 24
 
@@ -85,6 +88,81 @@ def test_gapped_insults_are_caught(spark):
     assert bad > 0.5 > good and none[0] == none[1] < 0.5
 
 
+@pytest.mark.parametrize("folder, least", [(MIDDLE, 0.8), ("/root/testdata/sf0.1", 0.85)])
+def test_toxic_texts_are_found_and_others_left_alone(spark, folder, least):
+    """Some thirty and three hundred toxic texts to learn from, of four languages."""
+    rows = queries.op3_toxicity(spark, folder).join(table(spark, folder, "labels"), "doc_id").where("held_out").collect()
+    caught = [r.toxic for r in rows if r.predicted]
+    assert sum(caught) >= least * sum(r.toxic for r in rows) and sum(caught) >= 0.9 * len(caught)
+
+
+@pytest.fixture(scope="module")
+def toxic_model():
+    """Learned from some thirty toxic texts."""
+    def rows(y):
+        found = duck(MIDDLE).execute("SELECT text FROM documents JOIN labels USING (doc_id) WHERE toxic = ? ORDER BY doc_id", [y]).fetchall()
+        return [u for (t,) in found[: 30 if y else 300] if (u := units(t))]
+    return fit_rows(rows(1), rows(0))
+
+
+def scores(model, *texts):
+    found = [units(t) for t in texts]
+    return model.score(np.array([worst_of(model.decide(sorted(u)).tolist()) for u in found]))
+
+
+@pytest.mark.parametrize("insult", ["idiot", "trash", "worthless"])
+def test_one_insult_suffices_however_it_is_written(toxic_model, insult):
+    ways = [insult, insult.upper(), insult + "!!", "-".join(insult), " ".join(insult), insult[:2] + "-" + insult[2:], insult[:3] + "." + insult[3:],
+            insult[:2] + insult[1:], insult.replace("i", "1").replace("s", "$"), f"({insult})"]
+    assert (scores(toxic_model, *[f"there was such {w} in here" for w in ways]) >= 0.7).all()
+    around = toxic_model.decide([f"x{insult}x", insult[:2] + "q" + insult[2:], "station", "the"])
+    assert around[:2].min() > 0 > around[2:].max()
+
+
+def test_clean_texts_score_low(toxic_model):
+    assert (scores(toxic_model, "", "the and of", "a station of this nation", "the trains crown the clouds") < 0.3).all()
+
+
+def test_folded_weights_are_those_of_the_landmarks(monkeypatch):
+    """A plain machine: the sum over landmarks of their weights times the kernel."""
+    seen = {}
+    plain = toxicity.kernel
+    def noted(words, others):
+        seen["marks"] = others
+        return plain(words, others)
+    monkeypatch.setattr(toxicity, "kernel", noted)
+    kept = {}
+    solve = toxicity.dual_coordinate_descent
+    def solved(rows, *args, **named):
+        kept["inner"] = solve(rows, *args, **named)
+        return kept["inner"]
+    monkeypatch.setattr(toxicity, "dual_coordinate_descent", solved)
+    words = {"idiot": 3.0, "idiots": 1.0, "moron": 2.0}, {w: 1.0 for w in ("station", "motor", "neighbour", "friend", "idea", "the")}
+    weights, bias = toxicity._fit_words(*words, {"idiot", "idiots", "moron"}, 1)
+    marks = seen["marks"]
+    gram = np.array([[brute_kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(gram)
+    keep = values > 1e-6
+    root = vectors[:, keep] / np.sqrt(values[keep])
+    asked = ["idiot", "id-iot", "nation", "m.o.r.o.n"]
+    mapped = np.array([[brute_kernel(w, m) for m in marks] for w in asked]) @ root
+    everything = np.array([[brute_kernel(w, m) for m in marks] for w in [*words[0], *words[1]]]) @ root
+    y = np.array([1, 1, 1, *[-1] * 6])
+    inner, plain_bias = solve([(np.arange(mapped.shape[1]), x) for x in everything], y, mapped.shape[1], cost=toxicity.COST, rounds=40,
+                              counts=np.array([*words[0].values(), *words[1].values()]))
+    got = toxicity.ToxicityModel(weights, bias, np.ones(4), 0.0).decide(asked)
+    assert got == pytest.approx(mapped @ inner + plain_bias, abs=1e-2)
+
+
+def test_counts_stand_for_repeated_rows():
+    rng = np.random.default_rng(4)
+    x, y, counts = rng.normal(size=(40, 3)), np.where(rng.random(40) < 0.3, 1, -1), rng.integers(1, 5, 40)
+    rows = [(np.arange(3), v) for v in x]
+    a = dual_coordinate_descent(rows, y, 3, rounds=400, counts=counts.astype(float))
+    b = dual_coordinate_descent([r for r, n in zip(rows, counts) for _ in range(n)], np.repeat(y, counts), 3, rounds=400)
+    assert np.allclose(a[0], b[0], atol=0.02) and abs(a[1] - b[1]) < 0.02
+
+
 @pytest.mark.parametrize("fit, score, label", [(fit_quality, quality_score, "quality"), (fit_toxicity, toxicity_score, "toxic")])
 def test_without_labels_or_rows(spark, edge, nothing, fit, score, label):
     empty = spark.createDataFrame([], f"doc_id bigint, {label} int")

@@ -6,16 +6,19 @@ import numpy as np
 
 
 def dual_coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int,
-                            cost: float = 1.0, rounds: int = 20, seed: int = 7) -> tuple[np.ndarray, float]:
+                            cost: float = 1.0, rounds: int = 20, seed: int = 7, counts: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias of an L2-regularised hinge-loss fit.
 
     ``rows``: indices and values of each example; ``labels``: -1 or 1. One dual variable at a time is
-    set to its best value within [0, cost]; the bias is a feature that is always 1. With examples of
+    set to its best value within [0, cost]; the bias is a feature that is always 1. ``counts``: how often each example
+    stands for, once if not given. Both classes weigh the same. With examples of
     one class only, or none, the weights are zero and the bias is that class.
     """
     if not len(rows) or len(set(labels.tolist())) < 2:
         return np.zeros(size), float(labels[0]) if len(rows) else 0.0
-    share = len(rows) / (2 * np.array([(labels == y).sum() for y in labels]))
+    counts = np.ones(len(rows)) if counts is None else counts
+    total = {y: counts[labels == y].sum() for y in set(labels.tolist())}
+    share = counts * counts.sum() / (2 * np.array([total[y] for y in labels.tolist()]))
     weights, bias, alpha = np.zeros(size), 0.0, np.zeros(len(rows))
     norms = np.array([float(v @ v) + 1.0 for _, v in rows])
     order = np.random.default_rng(seed)

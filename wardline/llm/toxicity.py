@@ -2,13 +2,17 @@
 
 The kernel compares two strings by their common subsequences of three characters that lie within a
 short span, each weighted by decay**span, so inserted or left-out characters cost a little only. A
-sentence is judged by its worst word and a text by its three worst. The
+sentence is judged by its worst word and a text by its three worst; one that is toxic beyond doubt suffices.
+Words typical of toxic texts are learned with characters inserted, doubled and put around them, too. The
 landmarks' weights fold into one weight for each subsequence, hence scoring a word does not depend on the number of landmarks.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
+from collections.abc import Collection
 from heapq import nlargest
 from typing import NamedTuple
 
@@ -22,14 +26,21 @@ from wardline.llm.tables import labelled_sample
 
 #: Labelled rows of either class that a fit reads at most; the keys' hashes choose them.
 SAMPLE = 4_000
-LANDMARKS = 160
+LANDMARKS, COST = 400, 0.5
 SPAN, DECAY = 6, 0.7
+#: Evidence (twice the log-likelihood ratio of a word's counts in toxic and clean texts) of a word that may be a
+#: witness, that is one where the machine has not seen it, and that is one in any case.
+MAYBE, LIKELY, SURE = 2.0, 6.0, 12.0
+#: A decision from which a word is toxic beyond doubt, and the bounds within which decisions count.
+CERTAIN, LOWEST, HIGHEST = 1.0, -1.0, 3.0
 #: Longest piece of a word that is weighed at once; longer ones are weighed in overlapping pieces.
 PIECE = 24
 
 #: Characters often written for letters.
 LOOKALIKES = dict(zip("013457@$", "oieastas"))
 _STRIP = ".,;:!?\"'()[]{}<>#%&*|-_~`+=/\\"
+_INSIDE = re.compile(r"[^\W_][\W_]+[^\W_]")
+_NO_LETTER = re.compile(r"[\W_]+")
 _SPACED = re.compile(r"(?<!\S)[^\W\d_](?:[\s.*_-]{1,2}[^\W\d_]){3,}(?!\S)")
 _PLACES = [(j, k) for k in range(2, SPAN) for j in range(1, k)] + [
     (i, j, k) for k in range(3, SPAN) for j in range(2, k) for i in range(1, j)]
@@ -99,12 +110,13 @@ def kernel(words: list[str], others: list[str]) -> np.ndarray:
 
 
 def units(text: str | None) -> set[str]:
-    """The distinct pieces that a text is judged by: lower-case words without outer punctuation, long ones
-    in overlapping pieces, and runs of single letters joined."""
+    """The distinct pieces that a text is judged by: lower-case words without outer punctuation, those with
+    inner punctuation also without it, long ones in overlapping pieces, and runs of single letters joined."""
     if not text:
         return set()
     text = text.lower()
     out = {w.strip(_STRIP) for w in set(text.split())}
+    out.update([_NO_LETTER.sub("", w) for w in out if _INSIDE.search(w)])
     out.update("".join(c for c in m[0] if c.isalpha()) for m in _SPACED.finditer(text))
     for w in [w for w in out if len(w) > PIECE]:
         out.discard(w)
@@ -120,7 +132,7 @@ WORST = 3
 class ToxicityModel(NamedTuple):
     weights: np.ndarray  # by subsequence
     bias: float
-    slopes: np.ndarray   # of the worst words' decisions
+    slopes: np.ndarray   # of the evidence in the worst words' decisions
     offset: float
 
     def decide(self, words: list[str]) -> np.ndarray:
@@ -132,31 +144,44 @@ class ToxicityModel(NamedTuple):
         return out
 
     def score(self, worst: np.ndarray) -> np.ndarray:
-        return logistic(worst @ self.slopes + self.offset)
+        return logistic(evidence(worst) @ self.slopes + self.offset)
 
 
 def worst_of(decisions) -> list[float]:
-    """The highest decisions in order, within [-1, 2]; a text of fewer words is filled up with -1."""
-    return ([min(max(d, -1.0), 2.0) for d in nlargest(WORST, decisions)] + [-1.0] * WORST)[:WORST]
+    """The highest decisions in order, within bounds; a text of fewer words is filled up with the lowest."""
+    return ([min(max(d, LOWEST), HIGHEST) for d in nlargest(WORST, decisions)] + [LOWEST] * WORST)[:WORST]
 
 
-def _fit_words(positive: list[str], negative: list[str], hard: list[str], seed: int) -> tuple[np.ndarray, float]:
+def evidence(worst: np.ndarray) -> np.ndarray:
+    """The worst decisions up to certainty, and how far the first is beyond it."""
+    return np.c_[np.minimum(worst, CERTAIN), np.maximum(worst[:, 0] - CERTAIN, 0)]
+
+
+def altered(word: str) -> list[str]:
+    """A word with a character inserted, one doubled, and some around it; the same for a word each time."""
+    if len(word) < 4:
+        return []
+    h = zlib.crc32(word.encode())
+    k = 1 + h % (len(word) - 1)
+    return [word[:k] + chr(97 + h // 64 % 26) + word[k:], word[:k] + word[k - 1] + word[k:], f"x{word}x"]
+
+
+def _fit_words(positive: dict[str, float], negative: dict[str, float], known: Collection[str], seed: int) -> tuple[np.ndarray, float]:
     """Landmarks from both classes, the Nyström map, the machine; folded to weights by subsequence."""
     rng = np.random.default_rng(seed)
-    names, counts = np.unique(positive, return_counts=True)
-    top = names[np.argsort(-counts, kind="stable")][: LANDMARKS // 2].tolist()
-    rest = np.setdiff1d(negative, hard)
-    marks = top + list(dict.fromkeys(hard))[: LANDMARKS // 4]
-    marks += rng.choice(rest, min(LANDMARKS - len(marks), len(rest)), replace=False).tolist()
+    top = sorted((w for w in positive if w in known), key=lambda w: (-positive[w], w))[: LANDMARKS // 2]
+    hard = sorted(negative, key=lambda w: (-negative[w], w))[: LANDMARKS // 4]
+    rest = sorted(negative.keys() - set(hard))
+    marks = top + hard + rng.choice(rest, min(LANDMARKS - len(top) - len(hard), len(rest)), replace=False).tolist()
     values, vectors = np.linalg.eigh(kernel(marks, marks))
     keep = values > 1e-6
     root = vectors[:, keep] / np.sqrt(values[keep])
-    words = positive + negative + hard
-    unique, back = np.unique(words, return_inverse=True)
-    mapped = (kernel(unique.tolist(), marks) @ root)[back]
+    words = [*positive, *negative]
+    mapped = kernel(words, marks) @ root
     every = np.arange(mapped.shape[1])
-    y = np.array([1] * len(positive) + [-1] * len(negative + hard))
-    inner, bias = dual_coordinate_descent([(every, x) for x in mapped], y, mapped.shape[1], cost=8.0, rounds=12)
+    y = np.array([1] * len(positive) + [-1] * len(negative))
+    counts = np.array([*positive.values(), *negative.values()])
+    inner, bias = dual_coordinate_descent([(every, x) for x in mapped], y, mapped.shape[1], cost=COST, rounds=40, counts=counts)
     beta = root @ inner
     table = np.zeros(IDS)
     for mark, name, weight in subsequences(marks):
@@ -164,13 +189,58 @@ def _fit_words(positive: list[str], negative: list[str], hard: list[str], seed:
     return table, bias
 
 
+def fit_rows(toxic: list[set[str]], clean: list[set[str]], rounds: int = 3, seed: int = 5) -> ToxicityModel:
+    """The fit to the units of toxic and clean texts, neither list empty; no text without units."""
+    seen = Counter(w for r in toxic for w in r), Counter(w for r in clean for w in r)
+    sizes = len(toxic), len(clean)
+
+    def typical(w: str) -> float:
+        a, b = seen[0][w], seen[1][w]
+        if a * sizes[1] <= b * sizes[0]:
+            return 0.0
+        mean = (a + b) / sum(sizes)
+        return 2 * (a * np.log(a / sizes[0] / mean) + (b * np.log(b / sizes[1] / mean) if b else 0.0))
+
+    signs = {w: typical(w) for w in seen[0]}
+    every = sorted(seen[0].keys() | seen[1].keys())
+    pool = sorted(w for w in seen[1] if signs.get(w, 0.0) < MAYBE)  # a word typical of toxic texts is no clean one
+
+    def witnesses(rank: dict[str, float]) -> dict[str, float]:
+        out: Counter = Counter()
+        for r in toxic:
+            best = sorted((w for w in r if signs[w] >= MAYBE), key=lambda w: (-rank.get(w, signs[w]), w))[:WORST]
+            out.update({w for w in r if signs[w] >= SURE} | {w for w in best if signs[w] >= LIKELY or rank.get(w, 0.0) > 0})
+        found = {w: float(n) for w, n in out.items()}
+        for w, n in out.items():
+            if signs[w] >= SURE:
+                for v in altered(w):
+                    found.setdefault(v, n / 3)
+        return found
+
+    positive = witnesses({}) or {max(r, key=lambda w: (signs[w], w)): 1.0 for r in toxic}
+    rng = np.random.default_rng(seed)
+    negative = dict.fromkeys(rng.choice(pool, min(4_000, len(pool)), replace=False).tolist(), 1.0) if pool else {}
+    for step in range(rounds):
+        weights, bias = _fit_words(positive, negative, seen[0].keys(), seed + step)
+        model = ToxicityModel(weights, bias, np.ones(WORST + 1), 0.0)
+        rank = dict(zip(every, model.decide(every).tolist()))
+        positive = witnesses(rank) or positive
+        for w in sorted(pool, key=lambda w: (-rank[w], w))[:1_500]:
+            negative[w] = float(min(seen[1][w], 20))
+    rows = [worst_of(rank[w] for w in r) for r in toxic + clean]
+    # The sentence of a witness beyond doubt is toxic alone.
+    alone = [[w[0], *[LOWEST] * (WORST - 1)] for w in rows[: len(toxic)] if w[0] > CERTAIN]
+    labels = np.array([1] * len(toxic) + [0] * len(clean) + [1] * len(alone))
+    return ToxicityModel(weights, bias, *calibrate(evidence(np.array(rows + alone)), labels))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
                  sample: int = SAMPLE, rounds: int = 3, seed: int = 5) -> ToxicityModel:
     """Fits on the texts of at most ``sample`` rows of either label (0 or 1) in ``labels(key, label)``.
 
-    A toxic text is known to hold at least one toxic sentence, not which. Its witness is at first the
-    word most typical of toxic texts, then the one the machine ranks worst; clean texts give random
-    words and those the machine ranks worst, without words typical of toxic texts. Without labels of both classes every text scores the same.
+    A toxic text is known to hold at least one toxic sentence, not which. Its witnesses are at first the
+    words most typical of toxic texts, by the evidence in their counts, then also those the machine ranks worst; clean
+    texts give random words and those the machine ranks worst. Without labels of both classes every text scores the same.
     """
     @F.arrow_udf("array<string>")
     def pieces(column: pa.Array) -> pa.Array:
@@ -179,33 +249,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     found = [labelled_sample(docs, labels.where(F.col(label) == y), key, text, label, sample)
              .select("spread", "key", pieces("text").alias("units")).toArrow().sort_by([("spread", "ascending"), ("key", "ascending")])["units"].to_pylist()
              for y in (1, 0)]
-    toxic, clean = [[x for x in rows if x] for rows in found]
-    labels_of = np.array([1] * len(toxic) + [0] * len(clean))
+    toxic, clean = [[set(x) for x in rows if x] for rows in found]
     if not toxic or not clean:
-        return ToxicityModel(np.zeros(IDS), 0.0, np.zeros(WORST), calibrate(np.zeros(len(labels_of)), labels_of)[1])
-    rng = np.random.default_rng(seed)
-    seen: tuple[dict, dict] = ({}, {})
-    for rows, into in zip((toxic, clean), seen):
-        for r in rows:
-            for w in r:
-                into[w] = into.get(w, 0) + 1
-    odds = {w: np.log((n + 0.1) / len(toxic)) - np.log((seen[1].get(w, 0) + 0.1) / len(clean)) for w, n in seen[0].items()}
-    # A word that one toxic text alone has says little; those texts join once the machine has seen the others.
-    first = [max(r, key=lambda w: (odds[w], w)) for r in toxic]
-    positive = [w for w in first if seen[0][w] > 1] or first
-    pool = sorted(w for w in seen[1] if odds.get(w, 0.0) <= 1.0)  # a word typical of toxic texts is no clean one
-    every = sorted(seen[0].keys() | seen[1].keys())
-    negative = rng.choice(pool, min(4_000, len(pool)), replace=False).tolist()
-    hard: list[str] = []
-    for step in range(rounds):
-        weights, bias = _fit_words(positive, negative, hard, seed + step)
-        model = ToxicityModel(weights, bias, np.ones(WORST), 0.0)
-        rank = dict(zip(every, model.decide(every).tolist()))
-        of_clean = sorted(pool, key=lambda w: (-rank[w], w))[:1_500]
-        hard = [w for w in dict.fromkeys(of_clean + hard) for _ in range(min(seen[1][w], 20))]
-        positive = [w for r in toxic for w in sorted(r, key=lambda w: (-rank[w], w))[:WORST] if odds[w] > 1.0] or positive
-    worst = np.array([worst_of(rank[w] for w in r) for r in toxic + clean])
-    return ToxicityModel(weights, bias, *calibrate(worst, labels_of))
+        known = np.array([1] * len(toxic) + [0] * len(clean))
+        return ToxicityModel(np.zeros(IDS), 0.0, np.zeros(WORST + 1), calibrate(np.zeros(len(known)), known)[1])
+    return fit_rows(toxic, clean, rounds, seed)
 
 
 def toxicity_score(text: Column, model: ToxicityModel, remembered: int = 300_000) -> Column:
