@@ -48,9 +48,23 @@ def test_answers_do_not_depend_on_the_number_of_shuffle_partitions(spark, folder
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def _without(tmp_path, *gone):
+    shutil.copytree(ROOT, tmp_path / "repo", ignore=lambda d, names: [n for n in names if n in (".git", "__pycache__", ".pytest_cache", *gone)])
+
+
 def test_all_else_works_without_the_corpus_operators(tmp_path):
-    shutil.copytree(ROOT, tmp_path / "repo", ignore=lambda d, names: [
-        n for n in names if n in (".git", "llm", "corpus_pipeline.py", "__pycache__")])
+    _without(tmp_path, "llm", "corpus_pipeline.py")
     code = ("import __spark_entry__ as e; q = e.queries(); "
             "assert len(q) > 150 and not any(n.startswith('op') or n == 'pipeline' for n in q) and set(e.oracle_sql()) <= set(q)")
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", check=True, timeout=120)
+    tests = [sys.executable, "-m", "pytest", "-q", "-p", "no:cacheprovider", "tests/test_store.py::test_a_record_that_moves_leaves_its_old_day",
+             "tests/test_contract.py::test_entry"]
+    done = subprocess.run(tests, cwd=tmp_path / "repo", timeout=300, capture_output=True, text=True)
+    assert "2 passed" in done.stdout, done.stdout[-2000:]
+
+
+def test_a_broken_installation_does_not_hide_the_corpus_operators(tmp_path):
+    _without(tmp_path)
+    (tmp_path / "repo" / "zstandard.py").write_text("raise ModuleNotFoundError('no such module', name='zstandard')")
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path / "repo", timeout=120, capture_output=True, text=True)
+    assert done.returncode and "zstandard" in done.stderr
