@@ -259,11 +259,16 @@ def _apart_pairs(percent: int, rows_at_once: int = 20_000, pairs_at_once: int =
     return run
 
 
-def _sets(size: int):
+def _sets(size: int, held_at_once: int = 500_000):
     def run(batches):
         for batch in batches:
-            rows = [signed(s) for _, s in shingle_rows(batch.column(1), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
+            first, rows, held = 0, [], 0
+            for k, s in shingle_rows(batch.column(1), size):
+                rows.append(signed(s))
+                held += len(s)
+                if held > held_at_once or k == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(rows)), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
+                    first, rows, held = k + 1, [], 0
     return run
 
 

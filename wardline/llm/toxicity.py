@@ -215,7 +215,7 @@ def fit_rows(toxic: list[set[str]], clean: list[set[str]], rounds: int = 3, seed
             if signs[w] >= SURE:
                 for v in altered(w):
                     found.setdefault(v, n / 3)
-        return found
+        return dict(sorted(found.items()))  # whatever the order of the sets
 
     positive = witnesses({}) or {max(r, key=lambda w: (signs[w], w)): 1.0 for r in toxic}
     rng = np.random.default_rng(seed)
