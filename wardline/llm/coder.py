@@ -15,11 +15,11 @@ import zlib
 import numpy as np
 import zstandard
 
-BLOCK = 4096
+BLOCK = 2048
 #: Steps between new shares of order 2, its contexts in a block, and how often ids must meet to be in the order-1 model.
-_WEIGH, _SLOTS, _OFTEN = 64, 11, 3
+_WEIGH, _SLOTS, _OFTEN = 64, 10, 3
 #: Bits of the shares of order 2 and of the frequencies of order 1; cells of a table of all pairs of ids.
-_SHARE, _FIRST, _TABLE = 12, 16, 1 << 23
+_SHARE, _FIRST, _TABLE = 12, 16, 1 << 24
 _U = np.uint64
 _FULL = _U(1 << 32)
 _MAGIC = b"WTI2"
@@ -77,14 +77,10 @@ class _Model:
         before = numbers[:-1]
         inside = np.ones(len(before), bool)
         inside[block - 1 :: block] = False  # the first id of a block has none before it
-        pair = before[inside].astype(np.int64) * n + numbers[1:][inside]
-        if n * n <= _TABLE:
-            met = np.bincount(pair, minlength=n * n)
-            often = np.flatnonzero(met >= _OFTEN)
-            met = met[often]
-        else:
-            often, met = np.unique(pair, return_counts=True)
-            often, met = often[met >= _OFTEN], met[met >= _OFTEN]
+        kind = np.uint32 if n < 1 << 16 else np.int64  # the shorter ones sort much faster
+        pair = before[inside].astype(kind) * kind(n) + numbers[1:][inside].astype(kind)
+        often, met = np.unique(pair, return_counts=True)
+        often, met = often[met >= _OFTEN].astype(np.int64), met[met >= _OFTEN]
         listed, lengths = np.unique(often // n, return_counts=True) if n else (often, often)
         seldom = np.bincount(before[inside], minlength=n)[listed] - np.bincount(np.repeat(np.arange(len(listed)), lengths), met, len(listed)).astype(np.int64)
         at = np.cumsum(lengths) - lengths

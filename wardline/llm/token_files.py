@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardline.llm.coder import decode, encode
+from wardline.llm.tables import small
 from wardline.llm.tokens import tokens_of
 from wardline.session import work_path
 
-SEGMENT_IDS = 4_000_000
+SEGMENT_IDS = 6_000_000
 _FIELDS = "part bigint, segment bigint, n_docs bigint, n_ids bigint, documents binary, frame binary"
 
 
@@ -112,7 +113,8 @@ def read_token_files(spark: SparkSession, path: str, key: str = "doc_id", with_i
              .join(before, "part").select("part", "segment", (F.col("of_part") + F.col("of_segment")).alias("offset")))
     docs = segments.select("part", "segment", "n_docs", "documents", "frame").mapInArrow(
         _read(with_ids), "part bigint, segment bigint, key bigint, begin bigint, n_tokens bigint, ids_crc32 bigint, ids array<bigint>")
-    return docs.join(place, ["part", "segment"]).select(
+    # A row a segment, so that decoded documents neither move nor sort.
+    return docs.join(small(place), ["part", "segment"]).select(
         F.col("key").alias(key), (F.col("begin") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "ids")
 
 
