@@ -231,7 +231,27 @@ def fit_rows(toxic: list[set[str]], clean: list[set[str]], rounds: int = 3, seed
     # The sentence of a witness beyond doubt is toxic alone.
     alone = [[w[0], *[LOWEST] * (WORST - 1)] for w in rows[: len(toxic)] if w[0] > CERTAIN]
     labels = np.array([1] * len(toxic) + [0] * len(clean) + [1] * len(alone))
-    return ToxicityModel(weights, bias, *calibrate(evidence(np.array(rows + alone)), labels))
+    return ToxicityModel(weights, bias, *_rising(evidence(np.array(rows + alone)), labels))
+
+
+def _rising(features: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """A calibration in which no evidence speaks against the label."""
+    keep = np.arange(features.shape[1])
+    while True:
+        slopes, offset = calibrate(features[:, keep], labels)
+        if (slopes >= 0).all():
+            out = np.zeros(features.shape[1])
+            out[keep] = slopes
+            return out, offset
+        keep = keep[slopes >= 0]
+
+
+def _sets(column: pa.ChunkedArray) -> list[set[str]]:
+    """The units of texts that have any; equal words are one object."""
+    lists = column.combine_chunks()
+    words = lists.flatten().dictionary_encode()
+    names, at, ends = words.dictionary.to_pylist(), words.indices.to_pylist(), np.cumsum(np.diff(lists.offsets.to_numpy())).tolist()
+    return [{names[k] for k in at[a:b]} for a, b in zip([0, *ends], ends) if b > a]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -247,9 +267,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         return pa.array([sorted(units(t)) for t in column.to_pylist()], pa.list_(pa.string()))
 
     found = [labelled_sample(docs, labels.where(F.col(label) == y), key, text, label, sample)
-             .select("spread", "key", pieces("text").alias("units")).toArrow().sort_by([("spread", "ascending"), ("key", "ascending")])["units"].to_pylist()
+             .select("spread", "key", pieces("text").alias("units")).toArrow().sort_by([("spread", "ascending"), ("key", "ascending")])["units"]
              for y in (1, 0)]
-    toxic, clean = [[set(x) for x in rows if x] for rows in found]
+    toxic, clean = map(_sets, found)
     if not toxic or not clean:
         known = np.array([1] * len(toxic) + [0] * len(clean))
         return ToxicityModel(np.zeros(IDS), 0.0, np.zeros(WORST + 1), calibrate(np.zeros(len(known)), known)[1])
