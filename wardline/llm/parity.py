@@ -24,7 +24,7 @@ from wardline.session import staged
 
 BAND = 1.5
 #: Sketch bits for each shingle by which a pair may differ: for testing pairs, and for rows that carry one beside each segment.
-WIDE, NARROW = 8, 4
+WIDE, NARROW = 8, 8
 WIDE_BITS, NARROW_BITS = (256, 1 << 17), (512, 2048)
 #: Classes of one segment that meet in one task; a larger segment is cut into blocks that meet in pairs.
 BLOCK = 2_048
