@@ -35,7 +35,7 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     one stays. Other texts of an id whose one text goes stay."""
     groups = staged(exact_groups(docs).where(~F.col("kept")), "gone")
     same = F.sha2(fold_ascii(F.coalesce("text", F.lit(""))), 256)
-    gone = groups.where("doc_id != keep_id").select("doc_id", F.col("text_sha256").alias("_same"))
+    gone = small(groups.where("doc_id != keep_id").select("doc_id", F.col("text_sha256").alias("_same")))  # else texts move
     kept = docs.withColumn("_same", same).join(gone, ["doc_id", "_same"], "left_anti")
     twice = small(groups.where("doc_id = keep_id").select("doc_id").distinct())
     again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "_same"])
@@ -54,7 +54,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that hold no benchmark item. A row goes by its text, so repeated and missing ids make no difference."""
     texts = docs.withColumn("_text", F.sha2(F.coalesce("text", F.lit("")), 256))
     gone = leaks(texts, table(spark, sf_dir, "benchmark"), key="_text").select("_text").distinct()
-    return texts.join(gone, "_text", "left_anti").select(docs.columns)
+    return texts.join(small(staged(gone, "leaks")), "_text", "left_anti").select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +63,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    return docs.join(gone.where("doc_id is not null"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(small(staged(gone.where("doc_id is not null"), "gone")), "doc_id", "left_anti").select(docs.columns)
 
 
 STAGES = [
