@@ -41,28 +41,31 @@ def test_scan_of_a_header_only(spark, tmp_path):
     assert scan.rows.count() == scan.rejected.count() == 0
 
 
+def _cells(df):
+    return df.agg(F.count("*").alias("rows"), *[F.count(f"`{c}`").alias(f"known_{c}") for c in df.columns]).first().asDict()
+
+
 def test_observed_metrics_equal_a_scan(spark, folder):
     raw, metrics = stages.raw(spark, folder), {}
     rows, params = prepare.prepare(raw, metrics=metrics)
     known = clean.null_tokens(raw, prepare.NULL_TOKENS)
     for name, df in (("before", known), ("after", rows)):
-        assert metrics[name] == df.agg(*prepare._known_cells(df)).first().asDict()
+        assert metrics[name] == _cells(df)
     filled = {r["column"]: r["n_filled"] for r in reports.observed_imputation(spark, metrics, params).collect()}
     assert filled and all(n == known.where(F.col(f"`{c}`").isNull()).count() for c, n in filled.items())
 
 
-def test_metrics_cost_no_scan_of_their_own(spark, folder):
-    """The same number of jobs with and without metrics but for the count of the files' rows."""
+def test_metrics_change_no_row_and_count_copies(spark, folder):
     raw = stages.raw(spark, folder)
-    params = prepare.prepare(raw)[1]
-    tracker = spark.sparkContext.statusTracker()
-    jobs = []
-    for k, metrics in enumerate((None, {})):
-        spark.sparkContext.setJobGroup(f"metrics-{k}", "count jobs")
-        prepare.prepare(raw, params, metrics)
-        jobs.append(len(tracker.getJobIdsForGroup(f"metrics-{k}")))
-    spark.sparkContext.setJobGroup("rest", "")
-    assert jobs[1] - jobs[0] <= 2
+    some = raw.limit(50).unionByName(raw.limit(50)).unionByName(raw.limit(7))
+    metrics = {}
+    rows, params = prepare.prepare(some, metrics=metrics)
+    plain = prepare.prepare(some, params)[0]
+    assert rows.columns == plain.columns and rows.exceptAll(plain).count() == plain.exceptAll(rows).count() == 0
+    assert metrics["before"]["rows"] == 107 and metrics["after"]["rows"] == rows.count()
+    assert metrics["before"] == _cells(clean.null_tokens(some, prepare.NULL_TOKENS))
+    nothing = {}
+    assert prepare.prepare(some.limit(0), params, nothing)[0].count() == 0 and nothing["before"]["rows"] == nothing["after"]["rows"] == 0
 
 
 def test_imputer_is_stored_with_the_scorer(spark, tmp_path):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.operators import clean
@@ -21,15 +21,11 @@ class CleaningParams:
     outliers: dict[str, dict[str, float]] = field(default_factory=dict)
 
 
-def _known_cells(df: DataFrame) -> list:
-    return [F.count("*").alias("rows"), *[F.count(f"`{c}`").alias(f"known_{c}") for c in df.columns]]
-
-
 def impute_and_type(
-    raw: DataFrame, params: CleaningParams | None = None, seen: Observation | None = None
+    raw: DataFrame, params: CleaningParams | None = None, flags: bool = False
 ) -> tuple[DataFrame, CleaningParams]:
-    """Null tokens out, gaps filled, declared types enforced. ``seen`` gets the rows and known cells of each column
-    before gaps are filled, once the result is written."""
+    """Null tokens out, gaps filled, declared types enforced. With ``flags`` a column ``_gap_<column>`` for each says
+    whether it was a gap, 1 or 0."""
     known = clean.null_tokens(raw, NULL_TOKENS)
     if params is None:
         lacking = set(clean.columns_with_gaps(known)) - {KEY, PATIENT}
@@ -39,37 +35,45 @@ def impute_and_type(
             modes=clean.fit_modes(
                 known, [c for c in clean.columns_of_kind(known, False) if c in lacking]),
         )
-    if seen is not None:
-        known = known.observe(seen, *_known_cells(known))
+    if flags:
+        known = known.withColumns({f"_gap_{c}": F.col(f"`{c}`").isNull().cast("int") for c in known.columns})
     filled = clean.fill(clean.fill(known, params.medians), params.modes)
     numbers = [c for c in NUMERIC if c in filled.columns]
     categories = [c for c in CATEGORICAL if c in filled.columns]
     return clean.to_category(clean.to_number(filled, numbers), categories), params
 
 
+def _metrics(kept: DataFrame, columns: list[str]) -> dict[str, dict[str, int]]:
+    counts = kept.agg(
+        F.count("*").alias("after"), F.coalesce(F.sum("_copies"), F.lit(0)).alias("before"),
+        *[F.count(f"`{c}`").alias(f"after_{c}") for c in columns],
+        *[F.coalesce(F.sum(f"`_gap_{c}`"), F.lit(0)).alias(f"gaps_{c}") for c in columns]).first()
+    return {"before": {"rows": counts["before"]} | {f"known_{c}": counts["before"] - counts[f"gaps_{c}"] for c in columns},
+            "after": {"rows": counts["after"]} | {f"known_{c}": counts[f"after_{c}"] for c in columns}}
+
+
 def prepare(
     raw: DataFrame, params: CleaningParams | None = None, metrics: dict[str, dict[str, int]] | None = None
 ) -> tuple[DataFrame, CleaningParams]:
     """The full chain up to winsorised, un-encoded rows.
 
-    ``metrics``, if given, gets ``before`` and ``after``: rows, and ``known_<column>`` cells, collected by the
-    write below without a scan of their own. A stage that is run again after the loss of an executor
-    would count rows twice; where the rows before differ from the table's own count, both are counted by a scan.
+    ``metrics``, if given, gets ``before`` and ``after``: rows, and ``known_<column>`` cells. What was before is carried
+    through the shuffle of the distinct rows, as copies and gaps of each, and read with what is after in one aggregate
+    over the written rows; the raw rows are not read again, and a stage that is run twice counts once.
 
     The distinct rows are the one wide shuffle; they are written once, so the fence
     fit and every later stage read back only the columns they need.
     """
-    before, after = Observation("before"), Observation("after")
-    typed, params = impute_and_type(raw, params, before if metrics is not None else None)
-    distinct = clean.distinct_rows(typed)
-    if metrics is not None:
-        distinct = distinct.observe(after, *_known_cells(distinct))
-    unique = staged(distinct, "distinct")
-    if metrics is not None:
-        metrics |= {"before": before.get, "after": after.get}
-        if metrics["before"]["rows"] != raw.count():
-            known = clean.null_tokens(raw, NULL_TOKENS)
-            metrics |= {name: df.agg(*_known_cells(df)).first().asDict() for name, df in (("before", known), ("after", unique))}
+    typed, params = impute_and_type(raw, params, metrics is not None)
+    if metrics is None:
+        unique = staged(clean.distinct_rows(typed), "distinct")
+    else:
+        columns = [c for c in typed.columns if not c.startswith("_gap_")]
+        copies = typed.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(
+            F.count("*").alias("_copies"), *[F.sum(f"`_gap_{c}`").alias(f"_gap_{c}") for c in columns])
+        kept = staged(copies, "distinct")
+        unique = kept.select(*[F.col(f"`{c}`") for c in columns])
+        metrics |= _metrics(kept, columns)
     if not params.outliers:
         params.outliers = clean.fit_outliers(unique, [c for c in NUMERIC if c in unique.columns])
     return clean.winsorise(unique, params.outliers), params
