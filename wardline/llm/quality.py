@@ -57,8 +57,8 @@ def ngram_counts(column: pa.Array):
             inside = words.doc[: n - k] == words.doc[k:]
             docs.append(words.doc[: n - k][inside])
             buckets.append((mix(run + np.uint64(k)) & np.uint64(BUCKETS - 1)).astype(np.int64)[inside])
-        for a in range(0, rows, 512):  # a counting table of bounded size at a time
-            b = min(a + 512, rows)
+        for a in range(0, rows, 128):  # a counting table of bounded size at a time
+            b = min(a + 128, rows)
             cells = [d[m] * BUCKETS + g[m] - a * BUCKETS for d, g in zip(docs, buckets) for m in [(d >= a) & (d < b)]]
             counts = np.bincount(np.concatenate(cells), minlength=(b - a) * BUCKETS).reshape(b - a, BUCKETS)
             yield i + a, counts, np.bincount(words.doc, minlength=rows)[a:b]
