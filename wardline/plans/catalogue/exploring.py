@@ -205,7 +205,8 @@ def jn03_label_alignment(spark, folder):
     """Features and label kept in two tables, matched by key."""
     made = stages.labelled(spark, folder)
     features = made.select(KEY, "comorbidity_index", "age_midpoint")
-    return features.join(made.select(KEY, "label"), KEY)
+    # As many rows as the other side: file sizes say little of them, so they are never broadcast.
+    return features.join(made.select(KEY, "label").hint("merge"), KEY)
 
 
 def jn04_rate_of_top_codes(spark, folder):

@@ -236,7 +236,8 @@ def cln06_all_model_inputs(spark, folder):
 def cln06_model_input_impute(spark, folder):
     """Gaps of every split filled by the median of the training rows."""
     coded = clean.to_number(stages.raw(spark, folder).select(KEY, "diag_2"), ["diag_2"])
-    rows = coded.join(split_rows(spark, folder).select(KEY, "split"), KEY)
+    # Both sides have a row an encounter, however small their files are; neither is broadcast.
+    rows = coded.join(split_rows(spark, folder).select(KEY, "split").hint("merge"), KEY)
     medians = clean.fit_medians(rows.where(F.col("split") == "train"), ["diag_2"])
     return clean.fill(rows, medians)
 
