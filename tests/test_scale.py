@@ -1,5 +1,8 @@
 """Work that must not grow faster than the tables: what is broadcast, and how often rows are read."""
 
+from pyspark.sql import functions as F
+
+from wardline.operators.encode import label_codes, label_encode
 from wardline.plans import stages
 from wardline.plans.catalogue import exploring, features
 from wardline.sources.layout import KEY
@@ -31,3 +34,18 @@ def test_sides_with_a_row_an_encounter_are_not_broadcast(spark, monkeypatch, tmp
     assert "Broadcast" not in plan(found)
     assert sorted((r[KEY], r["diag_2"], r["split"]) for r in found.collect()) == [
         (1, 250.5, "train"), (2, 275.25, "test"), (3, 275.25, "val"), (4, 300.0, "train")]
+
+
+def test_label_codes_read_the_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(v):
+        read.add(1)
+        return v
+
+    kept = F.udf(seen, "string").asNondeterministic()
+    rows = spark.createDataFrame([(i, "ab"[i % 2], None if i % 3 else "x") for i in range(60)], "k int, p string, q string")
+    codes = label_codes(rows.withColumn("p", kept("p")), ["p", "q"])
+    coded = label_encode(rows, ["p", "q"], codes).orderBy("k").collect()
+    assert [tuple(r) for r in coded[:4]] == [(0, 0, 1), (1, 1, 0), (2, 0, 0), (3, 1, 1)]
+    assert read.value <= 60
