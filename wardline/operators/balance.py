@@ -51,9 +51,10 @@ def synthetic_minority(
         .withColumns({"position": within.cast("int"), "_u": unit_interval(draw)})
     )
     other = rows.select(F.col(key).alias("neighbour"), F.col("x").alias("_y"))
+    # Sides with a row an encounter are not broadcast, however small their files are.
     placed = (
-        seeds.join(neighbours.select(key, "position", "neighbour"), [key, "position"])
-        .join(other, "neighbour")
+        seeds.join(neighbours.select(key, "position", "neighbour").hint("merge"), [key, "position"])
+        .join(other.hint("merge"), "neighbour")
     )
     made = placed.withColumn(
         "_z", F.zip_with("x", "_y", lambda a, b: b - a))

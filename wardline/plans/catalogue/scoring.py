@@ -275,7 +275,7 @@ def scr09_merged_feed(spark, folder):
 
 def jn05_unseen_records(spark, folder):
     stored, local = _both_stores(spark, folder)
-    return local.join(stored.select("record_id"), "record_id", "left_anti").select(
+    return local.join(stored.select("record_id").hint("merge"), "record_id", "left_anti").select(
         "record_id", "patient_name")
 
 
