@@ -60,6 +60,22 @@ def test_state_stays_bounded_and_ends_empty(spark, tmp_path):
     assert max(sizes[:-1]) < 10 * 36 * 2 and sizes[-1] == 0
 
 
+def test_state_goes_by_groups_of_patients(spark, tmp_path):
+    """Many patients and records share a value and a timer, instead of some for each, and do not mix."""
+    rows = [(f"p{k % 3000}", k, START + datetime.timedelta(minutes=k), 0.9) for k in range(6000)]
+    found, sizes = run(spark, tmp_path, [rows, [END]], "300 days")
+    assert found == plain(rows) and len(found) == 3000 and sizes[0] <= alerts.GROUPS and sizes[-1] == 0
+
+
+def test_state_parts_go_by_rows_and_cores(spark):
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    assert jobs.state_partitions(spark, 0) == jobs.state_partitions(spark, 1000) == cores
+    assert jobs.state_partitions(spark, 54_000_000) == 216
+    with jobs.shuffle_partitions(spark, 3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_records_behind_the_watermark_are_dropped(spark, tmp_path):
     first, late = ("a", 1, START + datetime.timedelta(days=50), 0.9), ("b", 2, START, 0.9)
     found, _ = run(spark, tmp_path, [[first], [("c", 3, START + datetime.timedelta(days=60), 0.1)], [late], [END]], "2 days")

@@ -44,9 +44,11 @@ def _in_slices(spark, records, slices, name, run):
     """Run a stream once for each slice of the records, which arrive in order of time, in any number of files; a run goes on
     from the state that the one before left. ``run(path, schema, out, state)`` starts the stream."""
     source, out, state = work_path(spark, name), work_path(spark, f"{name}-out"), work_path(spark, f"{name}-state")
+    parts = jobs.state_partitions(spark, records.count())
     for some in slices:
         some.write.mode("append").parquet(source)
-        jobs.finish(run(source, records.schema, out, state))
+        with jobs.shuffle_partitions(spark, parts):
+            jobs.finish(run(source, records.schema, out, state))
     return spark.read.parquet(out)
 
 

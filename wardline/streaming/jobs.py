@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +46,24 @@ def status_windows(stream: DataFrame, width: str = "1 day") -> DataFrame:
     ).select("window.start", "status", "n", "avg_risk")
 
 
+def state_partitions(spark: SparkSession, rows: int, each: int = 250_000) -> int:
+    """Parts of a state that ``rows`` rows go through: one a core, more where one would see over ``each`` of them. Every
+    part is read, checkpointed and committed in every trigger, also where nothing came for it."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // each))
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, parts: int) -> Iterator[None]:
+    """Streams that are started inside keep their state in so many parts, for good; the session's setting comes back."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, parts)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append_to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Exactly-once file sink over what is available now."""
     return (
