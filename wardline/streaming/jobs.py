@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wardline.operators.records import assemble
+from wardline.session import setting
 
 
 def read_stream(
@@ -52,16 +50,9 @@ def state_partitions(spark: SparkSession, rows: int, each: int = 250_000) -> int
     return max(spark.sparkContext.defaultParallelism, -(-rows // each))
 
 
-@contextmanager
-def shuffle_partitions(spark: SparkSession, parts: int) -> Iterator[None]:
+def shuffle_partitions(spark: SparkSession, parts: int):
     """Streams that are started inside keep their state in so many parts, for good; the session's setting comes back."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, parts)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    return setting(spark, "spark.sql.shuffle.partitions", parts)
 
 
 def append_to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
