@@ -133,3 +133,19 @@ def test_fit_survives_storage(spark, rows, tmp_path):
     model.save(fit, f"{tmp_path}/m")
     again = model.load(f"{tmp_path}/m")
     assert (again.coefficients, again.intercept) == (fit.coefficients, fit.intercept)
+
+
+def test_training_rows_are_dealt_evenly(spark, monkeypatch):
+    """Parts of 9,000, 1, 1 and 1 rows become even ones; a table of few rows keeps its parts."""
+    monkeypatch.setattr(model, "ROWS_A_TASK", 1_000, raising=False)
+    uneven = spark.range(0, 9_000, 1, 1).union(spark.range(0, 3, 1, 3)).select(F.col("id").cast("double").alias("a"), (F.col("id") % 2).alias("label"))
+
+    def sizes(df):
+        kept = model.kept_for_fit(df, ["a"])
+        found = kept.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        kept.unpersist()
+        return found
+
+    even = sizes(uneven)
+    assert sum(even) == 9_003 and len(even) >= 4 and max(even) - min(even) < 100
+    assert sizes(uneven.where("a < 500")) == [500, 1, 1, 1]
