@@ -223,3 +223,14 @@ def test_repeat_edges(edge, nothing):
     got = {r.doc_id: r for r in rows}
     assert got[8].n_removed == 30_000 and got[8].kept == "end" and got[7].n_removed == 0
     assert got[1].n_words == got[2].n_words == 0 and got[1].kept_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+@pytest.mark.parametrize("factor, bounds", [(parity.WIDE, parity.WIDE_BITS), (parity.NARROW, parity.NARROW_BITS)])
+def test_sketches_sort_out_pairs_just_beyond_the_threshold(factor, bounds):
+    """Sets of 100 that may differ by 16 shingles and do by 20: nearly none are left, so a family of them is not listed pair by pair."""
+    rng, left, bits = np.random.default_rng(5), 0, sketch_bits(100, 85, factor, bounds)
+    for _ in range(1_000):
+        shingles = rng.integers(0, 1 << 63, 110, dtype=np.uint64)
+        a, b = (bit_sketch(x, bits) for x in (shingles[:100], shingles[10:]))
+        left += int(np.bitwise_count(a ^ b).sum()) * 185 <= 200 * 15
+    assert left < 50

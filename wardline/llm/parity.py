@@ -23,8 +23,9 @@ from wardline.llm.words import WordHasher, mix, signed, slices, window_hashes
 from wardline.session import staged
 
 BAND = 1.5
-#: Sketch bits for each shingle by which a pair may differ: for testing pairs, and for rows that carry one beside each segment.
-WIDE, NARROW = 8, 8
+#: Sketch bits for each shingle by which a pair may differ: for testing pairs, and for rows that carry one beside each segment. Shingles
+#: that differ hide in pairs on one bit; with 8 bits each, most pairs just beyond the threshold would be left possible.
+WIDE, NARROW = 32, 32
 WIDE_BITS, NARROW_BITS = (256, 1 << 17), (512, 2048)
 #: Classes of one segment that meet in one task; a larger segment is cut into blocks that meet in pairs.
 BLOCK = 2_048
