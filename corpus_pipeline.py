@@ -59,7 +59,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents' token pieces and their places in training sequences."""
-    return pack(docs, vocabulary("byte_bpe_50k.json"), END, 1024, with_ids=False).drop("ids")
+    return pack(docs, vocabulary("byte_bpe_50k.json"), END, 1024, with_ids=False, keep_words=False).drop("ids")
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:

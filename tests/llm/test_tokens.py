@@ -9,9 +9,11 @@ import pytest
 
 from wardline.llm import queries
 from wardline.llm.coder import BLOCK, Damaged, decode, encode
-from wardline.llm.packing import pack, plan
+from wardline.llm import packing
+from wardline.llm.packing import _pieces, pack, plan
 from wardline.llm.tables import documents
 from wardline.llm.token_files import token_table
+from wardline.llm import tokens
 from wardline.llm.tokens import WordTokens, vocabulary
 
 ODD = ["a<|endoftext|>b  c\n\nd\t e ", "Don't 'tis !'s _x_ x² 3½", "  lead", "", None, "ΑΣ ΟΔΟΣ", "a b", "x \n y", "\nq", "İ İ ß",
@@ -175,3 +177,23 @@ def test_packing_edges(edge, nothing):
     assert all(r.ids[-1] == 2 for r in rows if r.doc_id in (1, 2)) and sum(r.doc_id == 5 for r in rows) == 2
     assert all(len(r.ids) == r.length <= 64 and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in rows)
     assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+
+
+def test_packing_can_leave_no_words_in_the_worker():
+    """The pipeline's other stages run in the workers that pack."""
+    def pieces(keep):
+        run = _pieces(vocabulary("byte_bpe_50k.json"), 2, 64, False, keep)
+        batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a few words", None])], ["key", "text"])
+        return [b.to_pydict() for b in run(iter([batch]))], len(tokens._LOADED)
+
+    class Context:
+        partitionId = staticmethod(lambda: 0)
+
+    plain = packing.TaskContext
+    try:
+        packing.TaskContext = type("T", (), {"get": staticmethod(lambda: Context)})
+        tokens._LOADED.clear()
+        (kept, held), (freed, left) = pieces(True), pieces(False)
+    finally:
+        packing.TaskContext = plain
+    assert kept == freed and held == 1 and left == 0

@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardline.llm.tokens import tokens_of
+from wardline.llm.tokens import forget_tokens, tokens_of
 from wardline.session import staged
 
 _FIELDS = ("key bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>, part bigint, rank bigint")
 
 
-def _pieces(path: str, end: int, capacity: int, with_ids: bool):
+def _pieces(path: str, end: int, capacity: int, with_ids: bool, keep_words: bool = True):
     def run(batches):
         part, ranks = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
@@ -53,6 +53,8 @@ def _pieces(path: str, end: int, capacity: int, with_ids: bool):
                     batch.column(0).slice(first, n).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length),
                     pa.array(crc, pa.int64()), pa.array(lists, pa.list_(pa.int32())), pa.array(np.full(len(row), part)), pa.array(rank)],
                     [f.split()[0] for f in _FIELDS.split(", ")])
+        if not keep_words:
+            forget_tokens()
     return run
 
 
@@ -101,16 +103,18 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 
 
 def pack(df: DataFrame, tokenizer: str, end: int, capacity: int = 1024, key: str = "doc_id", text: str = "text",
-         with_ids: bool = True) -> DataFrame:
+         with_ids: bool = True, keep_words: bool = True) -> DataFrame:
     """``(key, piece, start, length, ids_crc32, ids, sequence_id, offset)`` of every piece of every row.
 
     A text's ids and the id ``end`` are one piece; longer ones are cut into pieces of ``capacity``, of which the
     first may be shorter. Null and empty texts are the end id alone. Rows that repeat a key, and rows with
     a null key, are packed like any other. ``ids`` is null unless asked for. Other columns are not read.
+    A worker keeps the tokenizer and the words it has met for its next task, unless ``keep_words`` is off: then other work of the
+    same workers has that memory.
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    pieces = staged(rows.mapInArrow(_pieces(tokenizer, end, capacity, with_ids), _FIELDS), "pieces")
+    pieces = staged(rows.mapInArrow(_pieces(tokenizer, end, capacity, with_ids, keep_words), _FIELDS), "pieces")
     by_part = staged(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "lengths")
     # A row for each part of a length: as many as the tasks that made the pieces.
     before = by_part.select("length", "part", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))

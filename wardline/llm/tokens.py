@@ -187,3 +187,8 @@ def tokens_of(path: str, spaces: bool) -> WordTokens:
     if (path, spaces) not in _LOADED:
         _LOADED[path, spaces] = WordTokens(path, spaces)
     return _LOADED[path, spaces]
+
+
+def forget_tokens() -> None:
+    """Frees this worker's tokenizers and their words."""
+    _LOADED.clear()
