@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from wardline.operators import clean
 from wardline.operators.encode import label_codes, label_encode
 from wardline.plans import stages
 from wardline.plans.catalogue import exploring, features
@@ -49,3 +50,21 @@ def test_label_codes_read_the_rows_once(spark):
     coded = label_encode(rows, ["p", "q"], codes).orderBy("k").collect()
     assert [tuple(r) for r in coded[:4]] == [(0, 0, 1), (1, 1, 0), (2, 0, 0), (3, 1, 1)]
     assert read.value <= 60
+
+
+def test_whole_rows_are_grouped_only_where_a_key_comes_twice(spark):
+    schema = "k bigint, v string, x double, _gap_v int"
+    rows = [(1, "a", 0.5, 0), (2, None, None, 1), (2, None, None, 1), (3, "a", 1.0, 0), (3, "b", 1.0, 0), (3, "b", 1.0, 1),
+            (None, "n", None, 0), (None, "n", None, 0), (None, None, 2.0, 1), (4, "b", -0.0, 0), (4, "b", 0.0, 0), (5, None, float("nan"), 1)]
+    df = spark.createDataFrame(rows, schema)
+    plain = sorted(map(repr, df.drop("_gap_v").distinct().collect()))
+    for most in (1, 3, 500):  # over the bound all rows are grouped
+        assert sorted(map(repr, clean.distinct_rows(df.drop("_gap_v"), "k", most).collect())) == plain
+        counted = clean.counted_rows(df, ["_gap_v"], "k", most)
+        assert [t for _, t in counted.dtypes[-2:]] == ["bigint", "bigint"]
+        assert sorted(repr(r[:3]) for r in counted.collect()) == sorted(repr(r[:3]) for r in df.drop("_gap_v").distinct().collect())
+        assert {(r["k"], r["v"]): (r["_copies"], r["_gap_v"]) for r in counted.collect()} == {
+            (1, "a"): (1, 0), (2, None): (2, 2), (3, "a"): (1, 0), (3, "b"): (2, 1), (None, "n"): (2, 0),
+            (None, None): (1, 1), (4, "b"): (2, 0), (5, None): (1, 1)}
+    once = df.where("k in (1, 5)")
+    assert "Exchange" not in plan(clean.distinct_rows(once, "k")) + plan(clean.counted_rows(once, ["_gap_v"], "k"))
